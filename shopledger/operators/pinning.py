@@ -1,0 +1,27 @@
+"""Fixing an intermediate result so that several consumers read the same rows."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the folder the cluster names; make one only for a local session."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        context.setCheckpointDir(configured)
+    elif context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="shopledger-checkpoint-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: survives lost executors and is computed once."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
