@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def statements() -> dict[str, str]:
-    from . import marts
+    from . import dashboards, marts, reports, upkeep
 
-    return dict(marts.SQL)
+    return {**marts.SQL, **upkeep.SQL, **reports.SQL, **dashboards.SQL}

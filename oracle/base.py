@@ -118,3 +118,25 @@ def whole(expr: str) -> str:
 
 def text(expr: str) -> str:
     return f"CAST({expr} AS VARCHAR)"
+
+
+def fixed(expr: str, digits: int = 2) -> str:
+    """A rounded ratio as text with all its decimals."""
+    return f"CAST(CAST({expr} AS DECIMAL(18,{digits})) AS VARCHAR)"
+
+
+def money_text(expr: str) -> str:
+    amount = f"CAST(round_even(CAST(coalesce({expr}, 0) AS DOUBLE), 0) AS BIGINT)"
+    return f"replace(format('{{:,}}', {amount}), ',', ' ')"
+
+
+def pct_text(expr: str) -> str:
+    value = f"CAST(coalesce({expr}, 0) AS DOUBLE)"
+    value = f"(CASE WHEN abs({value}) <= 1 THEN {value} * 100 ELSE {value} END)"
+    return f"replace(printf('%.1f%%', {value}), '.0%', '%')"
+
+
+def joined(*fields: str) -> str:
+    """Fields of the rows of a group as ``a=b=c, ...`` in order of position."""
+    entry = "concat_ws('=', " + ", ".join(f"CAST({f} AS VARCHAR)" for f in fields) + ")"
+    return f"string_agg({entry}, ', ' ORDER BY position)"
