@@ -37,16 +37,21 @@ def one_per_key(
 
 
 def clean(
-    entity: Entity | str, landed: DataFrame, order: Sequence[Column | str] = (LANDING_ORDER,)
+    entity: Entity | str, landed: DataFrame, order: Sequence[Column | str] = (LANDING_ORDER,),
+    per: Sequence[str] = (),
 ) -> DataFrame:
-    """Typed, de-duplicated and complete rows of one landed table."""
+    """Typed, de-duplicated and complete rows of one landed table.
+
+    Columns named in ``per`` separate loads that are cleaned independently;
+    they stay on the result.
+    """
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
     names = entity.staged.names
     text = landed.withColumns({n: known(n) for n in names})
-    single = one_per_key(text, entity.key, order, entity.keep)
+    single = one_per_key(text, [*entity.key, *per], order, entity.keep)
 
     parsed = single.select(
-        *(parse(F.col(f.name), f.dataType).alias(f.name) for f in entity.staged)
+        *(parse(F.col(f.name), f.dataType).alias(f.name) for f in entity.staged), *per
     )
     if entity.name == "sales":
         # judged on the rounded price and revenue but on the uncut quantity,
@@ -60,7 +65,8 @@ def clean(
         *(
             narrow(_filled(entity, f.name), f.dataType).cast(f.dataType).alias(f.name)
             for f in entity.staged
-        )
+        ),
+        *per,
     )
     return typed.dropna(subset=list(entity.required))
 

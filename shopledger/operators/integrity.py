@@ -6,6 +6,8 @@ and merges it otherwise, splitting hot keys of the fact side.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 
@@ -24,3 +26,14 @@ def ri_inventory(inventory: DataFrame, stores: DataFrame, products: DataFrame) -
 def ri_plan(plan: DataFrame, stores: DataFrame) -> DataFrame:
     """Plans answer to stores only; their category is free text."""
     return having_parent(plan, stores, "store_id")
+
+
+def related(name: str, rows: DataFrame, dimension: Callable[[str], DataFrame]) -> DataFrame:
+    """Facts with known parents; dimensions pass unchanged."""
+    if name == "sales":
+        return ri_sales(rows, dimension("stores"), dimension("products"))
+    if name == "inventory":
+        return ri_inventory(rows, dimension("stores"), dimension("products"))
+    if name == "plan_sales":
+        return ri_plan(rows, dimension("stores"))
+    return rows

@@ -1,0 +1 @@
+"""Continuous ingest. An extension: the original flow is a scheduled batch."""
