@@ -12,15 +12,14 @@ from ..schemas import ENTITIES
 CSV_OPTIONS = {"header": "true", "escape": '"', "encoding": "UTF-8", "enforceSchema": "false"}
 
 
-def position() -> Column:
+def position(path: str = "_metadata.file_path", block: str = "_metadata.file_block_start") -> Column:
     """Place of a row in the landed files, total and stable across retries.
 
     A task reads one block of a file from front to back, so the running id
     orders rows inside a block and path and block start order the blocks.
     """
     return F.struct(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
+        F.col(path).alias("path"), F.col(block).alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
 

@@ -25,7 +25,7 @@ def landed_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
         .withColumns({
             "arrived": F.col("_metadata.file_modification_time"),
             "source_file": F.col("_metadata.file_path"),
-            LANDING_ORDER: position(),
+            "source_block": F.col("_metadata.file_block_start"),
         })
     )
 
@@ -33,7 +33,8 @@ def landed_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def _merge_batch(warehouse: Warehouse, name: str, batch: DataFrame) -> None:
     # each file is cleaned by itself, then the latest file with a usable row wins
     load = ["arrived", "source_file"]
-    per_file = cleaning.clean(name, batch, per=load)
+    placed = batch.withColumn(LANDING_ORDER, position("source_file", "source_block"))
+    per_file = cleaning.clean(name, placed, per=load)
     rows = cleaning.one_per_key(per_file, ENTITIES[name].key, load, keep="last").drop(*load)
     warehouse.stage(name, integrity.related(name, rows, warehouse.core))
     quality.enforce(name, warehouse.staged(name))
