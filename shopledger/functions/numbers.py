@@ -7,6 +7,8 @@ the only rounding a reader can see.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,6 +30,15 @@ def total(c: Column | str) -> Column:
     return F.sum(col(c)).cast(TOTAL)
 
 
+def scaled(c: Column | str, digits: int) -> Column:
+    """A decimal with ``digits`` after the point as a whole number of the last."""
+    return (col(c) * F.lit(10**digits)).cast("bigint")
+
+
+def unscaled(c: Column, digits: int) -> Column:
+    return (c.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(24,{digits})")
+
+
 def ratio(top: Column | str, bottom: Column | str, digits: int = 2, times: int = 1) -> Column:
     """``top / bottom * times`` rounded half-up; null when ``bottom`` is zero."""
     bottom = F.nullif(col(bottom).cast(_DENOMINATOR), F.lit(0).cast(_DENOMINATOR))

@@ -14,22 +14,24 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.numbers import col
+from ..functions.numbers import col, scaled, unscaled
 
 
 @dataclass(frozen=True)
 class Side:
     """One input: its key expressions in shared order and its measures.
 
-    ``sums`` are added up; ``distinct`` are counted without repeats. A count of
-    the side's rows is always given as ``<side>_rows``, zero when absent.
+    ``sums`` are added up; ``distinct``, a name and a column, is counted
+    without repeats. A count of the side's rows is always given as
+    ``<side>_rows``; both counts are zero when the side is absent.
     """
 
     frame: DataFrame
     keys: Sequence[Column | str]
     sums: Mapping[str, Column | str] = field(default_factory=dict)
-    distinct: Mapping[str, Column | str] = field(default_factory=dict)
+    distinct: tuple[str, Column | str] | None = None
 
 
 def align(keys: Sequence[str], sides: Mapping[str, Side]) -> DataFrame:
@@ -38,21 +40,63 @@ def align(keys: Sequence[str], sides: Mapping[str, Side]) -> DataFrame:
     Sums of an absent side are null. As in a join, a null key equals nothing:
     rows with one stay apart from the other sides' rows.
     """
-    stacked = []
-    for name, side in sides.items():
-        named = [col(expr).alias(key) for key, expr in zip(keys, side.keys, strict=True)]
-        measures = {**side.sums, **side.distinct}
-        stacked.append(
-            side.frame.select(*named, *(col(e).alias(a) for a, e in measures.items()))
-            .withColumn("_side", F.lit(name))
-            .withColumn("_alone", F.when(_any_null(keys), F.lit(name)))
-        )
+    stacked = [
+        _measured(name, side, keys)
+        .withColumn("_alone", F.when(_any_null(keys), F.lit(name)))
+        for name, side in sides.items()
+    ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
-    aggregates = [F.sum(a).alias(a) for s in sides.values() for a in s.sums]
-    aggregates += [F.count_distinct(F.col(a)).alias(a) for s in sides.values() for a in s.distinct]
-    aggregates += [F.count_if(F.col("_side") == name).alias(f"{name}_rows") for name in sides]
+    counts = [f"{name}_rows" for name in sides]
+    counts += [side.distinct[0] for side in sides.values() if side.distinct]
+    scales = {a: scale for side in sides.values() for a, scale in _scales(side).items()}
+    aggregates = [
+        unscaled(F.sum(a), scales[a]).alias(a) if a in scales else F.sum(a).alias(a)
+        for side in sides.values() for a in side.sums
+    ]
+    aggregates += [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]
     return rows.groupBy(*keys, "_alone").agg(*aggregates).drop("_alone")
 
 
+def _scales(side: Side) -> dict[str, int]:
+    """Decimal measures that can travel as whole numbers of their last digit.
+
+    Wide decimal sums are kept as byte strings and cost several times a long.
+    A group's sum then has to stay below 9.2e18 last digits; going beyond stops
+    the query, provided the session checks overflow, else decimals are used.
+    """
+    if side.frame.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
+        return {}
+    kinds = side.frame.select(*(col(e).alias(a) for a, e in side.sums.items())).schema
+    return {
+        f.name: f.dataType.scale for f in kinds
+        if isinstance(f.dataType, T.DecimalType) and f.dataType.precision <= 18
+    }
+
+
+def _measured(name: str, side: Side, keys: Sequence[str]) -> DataFrame:
+    """Keys, measures and row count of one side, ready to be summed.
+
+    Repeats are removed by grouping this side alone with the counted column,
+    so the other sides do not travel through that shuffle.
+    """
+    named = [col(expr).alias(key) for key, expr in zip(keys, side.keys, strict=True)]
+    scales = _scales(side)
+    measures = [
+        (scaled(e, scales[a]) if a in scales else col(e)).alias(a) for a, e in side.sums.items()
+    ]
+    rows = f"{name}_rows"
+    if side.distinct is None:
+        return side.frame.select(*named, *measures, F.lit(1).cast("bigint").alias(rows))
+    label, counted = side.distinct
+    sums = [F.sum(a).alias(a) for a in side.sums]
+    return (
+        side.frame.select(*named, *measures, col(counted).alias("_counted"))
+        .groupBy(*keys, "_counted")
+        .agg(*sums, F.count(F.lit(1)).alias(rows))
+        .withColumn(label, F.col("_counted").isNotNull().cast("bigint"))
+        .drop("_counted")
+    )
+
+
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))

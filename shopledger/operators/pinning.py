@@ -3,25 +3,32 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; make one only for a local session."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names; a local session without one gets its own."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="shopledger-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if context.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            context.setCheckpointDir(configured)
+        elif context.master.startswith("local"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="shopledger-checkpoint-"))
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return context.getCheckpointDir()
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives lost executors and is computed once."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute ``df`` once, into a table in the shared folder.
+
+    The rows outlive lost executors, and each consumer reads only the columns
+    it needs.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/pinned-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,13 +11,16 @@ from .pinning import pin
 
 
 def running_total(
-    df: DataFrame, value: str, order: Sequence[Column], out: str, ranges: int | None = None
+    df: DataFrame, value: str, order: Sequence[Column], out: str, grand_total: str,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all rows up to this one in ``order``.
 
+    ``grand_total`` names a further column for the sum over all rows.
+
     ``order`` must be total. Rows are split into ranges of that order; each
     range is summed by its own task and shifted by the sum of the ranges before
-    it. The split is checkpointed because range borders are sampled: both
+    it. The split is written out because range borders are sampled: both
     consumers, and any recomputation, have to see the same borders. Only the
     per-range sums, as many as there are ranges, ever meet in one task.
     """
@@ -27,9 +30,15 @@ def running_total(
         df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
     )
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_range").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = (
         split.groupBy("_range").agg(F.sum(value).alias("_sum"))
-        .select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+        .select(
+            "_range",
+            F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"),
+            F.sum("_sum").over(everything).alias(grand_total),
+        )
     )
     within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (

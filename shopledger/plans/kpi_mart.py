@@ -35,7 +35,7 @@ def _cells(tables: Tables, months: Months) -> DataFrame:
                     "fact_revenue": "revenue", "fact_cost": "total_cost",
                     "fact_profit": "profit", "fact_qty": "quantity",
                 },
-                distinct={"sold_products": "product_id"},
+                distinct=("sold_products", "product_id"),
             ),
             "plan": Side(
                 plan_of(tables, months), ["plan_month", "store_id", "category"],

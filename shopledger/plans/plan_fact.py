@@ -9,7 +9,7 @@ gives the undistorted figure.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import TOTAL, or_zero, pct, total
@@ -47,18 +47,22 @@ def cells(tables: Tables, months: Months = None) -> DataFrame:
     return _aligned(tables, months, CELL)
 
 
-def planned(aligned: DataFrame, plan_once: bool = False) -> DataFrame:
-    """Cells with a plan, weighted the way a join to sale rows weights them."""
+def weighted_measures(plan_once: bool = False) -> dict[str, Column]:
+    """Measures of a planned cell as a join to its sale rows would sum them."""
     repeats = F.lit(1) if plan_once else F.greatest("sales_rows", F.lit(1))
-    return aligned.filter("plan_rows > 0").withColumns(
-        {c: F.col(c) * repeats for c in PLAN}
-        | {c: or_zero(c) * F.col("plan_rows") for c in FACT}
-    )
+    return {c: F.col(c) * repeats for c in PLAN} | {
+        c: or_zero(c) * F.col("plan_rows") for c in FACT
+    }
+
+
+def planned(aligned: DataFrame, plan_once: bool = False) -> DataFrame:
+    return aligned.filter("plan_rows > 0").withColumns(weighted_measures(plan_once))
 
 
-def rolled_up(weighted: DataFrame, *keys: str) -> DataFrame:
-    sums = {c: total(c) if c in _MONEY else F.sum(c).cast("bigint") for c in PLAN + FACT}
-    return weighted.groupBy(*keys).agg(*(e.alias(c) for c, e in sums.items()))
+def plan_fact_sums() -> list[Column]:
+    return [
+        (total(c) if c in _MONEY else F.sum(c).cast("bigint")).alias(c) for c in PLAN + FACT
+    ]
 
 
 def _completion(df: DataFrame, prefix: str, suffix: str) -> DataFrame:
@@ -117,27 +121,34 @@ def plan_fact_trend(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
-def summary_from(weighted: DataFrame) -> DataFrame:
-    summed = _completion(rolled_up(weighted, "plan_month"), "plan_", "_pct")
-    return summed.select("plan_month", *PLAN, *FACT, "plan_revenue_pct", "plan_profit_pct")
+def completed(summed: DataFrame) -> DataFrame:
+    return _completion(summed, "plan_", "_pct")
 
 
-def ranking_from(weighted: DataFrame, key: str) -> DataFrame:
-    summed = _completion(rolled_up(weighted, "plan_month", key), "plan_", "_pct")
-    return summed.select(
-        "plan_month", key,
-        "plan_revenue", "fact_revenue", "plan_revenue_pct",
-        "plan_profit", "fact_profit", "plan_profit_pct",
-    )
+def _rolled_up(tables: Tables, months: Months, plan_once: bool, *keys: str) -> DataFrame:
+    weighted = planned(cells(tables, months), plan_once)
+    return completed(weighted.groupBy("plan_month", *keys).agg(*plan_fact_sums()))
 
 
 def plan_fact_summary(tables: Tables, months: Months = None, plan_once: bool = False) -> DataFrame:
-    return summary_from(planned(cells(tables, months), plan_once))
+    return _rolled_up(tables, months, plan_once).select(
+        "plan_month", *PLAN, *FACT, "plan_revenue_pct", "plan_profit_pct"
+    )
+
+
+_RANKING = (
+    "plan_revenue", "fact_revenue", "plan_revenue_pct",
+    "plan_profit", "fact_profit", "plan_profit_pct",
+)
 
 
 def plan_fact_store(tables: Tables, months: Months = None, plan_once: bool = False) -> DataFrame:
-    return ranking_from(planned(cells(tables, months), plan_once), "store_id")
+    return _rolled_up(tables, months, plan_once, "store_id").select(
+        "plan_month", "store_id", *_RANKING
+    )
 
 
 def plan_fact_category(tables: Tables, months: Months = None, plan_once: bool = False) -> DataFrame:
-    return ranking_from(planned(cells(tables, months), plan_once), "category")
+    return _rolled_up(tables, months, plan_once, "category").select(
+        "plan_month", "category", *_RANKING
+    )

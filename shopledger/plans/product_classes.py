@@ -36,14 +36,12 @@ def abc_xyz_analysis(
         F.sum(units * units).alias("squares"),
         F.count(F.lit(1)).alias("active_months"),
     )
-    grand_total = products.agg(F.sum("revenue")).scalar()
     ranked = running_total(
         products, "revenue", [F.desc("revenue"), F.asc("product_id"), F.asc("category")],
-        "revenue_so_far", ranges,
+        "revenue_so_far", "all_revenue", ranges,
     )
     shares = (
-        ranked.withColumn("all_revenue", grand_total)
-        .withColumn("revenue_share_pct", pct("revenue", "all_revenue", 4))
+        ranked.withColumn("revenue_share_pct", pct("revenue", "all_revenue", 4))
         .withColumn("cumulative_revenue_share_pct", pct("revenue_so_far", "all_revenue", 4))
     )
     squared_sum = F.col("quantity").cast("decimal(18,0)") * F.col("quantity").cast("decimal(18,0)")

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.labels import plan_status as status_of
-from ..functions.numbers import total
+from ..functions.numbers import or_zero, total
 from ..operators.pinning import pin
 from ..operators.selectors import check_date, check_month
 from ..operators.topk import as_list, top_k
 from .inventory import inventory_alerts, inventory_summary
 from .plan_fact import (
-    FACT, PLAN, cells, plan_fact_category, plan_fact_store, plan_fact_summary, planned,
-    ranking_from, summary_from,
+    FACT, PLAN, cells, completed, plan_fact_category, plan_fact_store, plan_fact_sums,
+    plan_fact_summary, weighted_measures,
 )
 from .sales import Months, Tables, category_monthly, store_monthly
 
@@ -118,66 +118,88 @@ def _finish(periods: DataFrame, parts: list[DataFrame], key: str) -> DataFrame:
     return report.withColumn("has_data", known)
 
 
-def _grid(tables: Tables, month: str | None) -> tuple[DataFrame, DataFrame]:
-    """Plan and sales cells, computed once for all parts, and the periods."""
+_SOLD = {"revenue": "fact_revenue", "profit": "fact_profit", "quantity": "fact_qty"}
+# grouping ids over (month, store, category): a set bit is a column summed away
+_MONTH, _STORE, _CATEGORY = 0b011, 0b001, 0b010
+
+
+def _rollup(tables: Tables, month: str | None) -> DataFrame:
+    """Sales and plan totals by month, by store and by category.
+
+    Plans are weighted in the finest cells, which are then summed to all three
+    levels at once and kept: the parts of a report read that small table, the
+    fact tables are scanned a single time.
+    """
     months = None if month is None else [check_month(month)]
-    grid = pin(cells(tables, months).withColumnRenamed("plan_month", "month"))
-    if month is None:
-        return grid, grid.select("month").distinct()
-    return grid, grid.sparkSession.range(1).select(F.lit(month).alias("month"))
-
-
-def _sold(grid: DataFrame, key: str) -> DataFrame:
-    return (
-        grid.filter("sales_rows > 0")
-        .groupBy(F.col("month").alias("sale_month"), key)
-        .agg(
-            total("fact_revenue").alias("revenue"),
-            total("fact_profit").alias("profit"),
-            F.sum("fact_qty").alias("quantity"),
+    has_plan = F.col("plan_rows") > 0
+    measured = cells(tables, months).select(
+        F.col("plan_month").alias("month"), "store_id", "category", "sales_rows",
+        *(or_zero(c).alias(name) for name, c in _SOLD.items()),
+        *(F.when(has_plan, e).alias(c) for c, e in weighted_measures().items()),
+        has_plan.cast("bigint").alias("plan_cells"),
+    )
+    levels = [["month"], ["month", "store_id"], ["month", "category"]]
+    return pin(
+        measured.groupingSets(levels, "month", "store_id", "category").agg(
+            total("revenue").alias("revenue"),
+            total("profit").alias("profit"),
+            F.sum("quantity").alias("quantity"),
+            F.sum("sales_rows").alias("sales_count"),
+            F.sum("plan_cells").alias("plan_cells"),
+            *plan_fact_sums(),
+            F.grouping_id().alias("level"),
         )
     )
 
 
+def _sold(rollup: DataFrame, level: int) -> DataFrame:
+    rows = rollup.filter((F.col("level") == level) & (F.col("sales_count") > 0))
+    return rows.withColumnRenamed("month", "sale_month")
+
+
+def _with_plan(rollup: DataFrame, level: int) -> DataFrame:
+    rows = rollup.filter((F.col("level") == level) & (F.col("plan_cells") > 0))
+    return completed(rows).withColumnRenamed("month", "plan_month")
+
+
+def _periods(rollup: DataFrame, month: str | None) -> DataFrame:
+    if month is None:
+        return rollup.filter(F.col("level") == _MONTH).select("month")
+    return rollup.sparkSession.range(1).select(F.lit(month).alias("month"))
+
+
 def _listed(ranked: DataFrame, period: str, fields: tuple[str, ...], name: str) -> DataFrame:
     return as_list(ranked, period, fields, name).withColumnRenamed(period, "month")
 
 
-def _plan_struct(weighted: DataFrame, name: str) -> DataFrame:
+def _plan_struct(rollup: DataFrame, name: str) -> DataFrame:
     columns = (*PLAN, *FACT, "plan_revenue_pct", "plan_profit_pct")
-    return summary_from(weighted).select(
+    return _with_plan(rollup, _MONTH).select(
         F.col("plan_month").alias("month"), F.struct(*columns).alias(name)
     )
 
 
 def report_monthly(tables: Tables, month: str | None = None, k: int = 3) -> DataFrame:
     """KPI, best and weakest stores and categories, and plan completion."""
-    grid, periods = _grid(tables, month)
-    kpi = (
-        grid.filter("sales_rows > 0").groupBy("month")
-        .agg(
-            total("fact_revenue").alias("revenue"),
-            total("fact_profit").alias("profit"),
-            F.sum("fact_qty").alias("quantity"),
-            F.sum("sales_rows").alias("sales_count"),
-        )
-        .select("month", F.struct("revenue", "profit", "quantity", "sales_count").alias("kpi"))
+    rollup = _rollup(tables, month)
+    kpi = _sold(rollup, _MONTH).select(
+        F.col("sale_month").alias("month"),
+        F.struct("revenue", "profit", "quantity", "sales_count").alias("kpi"),
     )
-    stores, categories = _sold(grid, "store_id"), _sold(grid, "category")
-    weighted = planned(grid.withColumnRenamed("month", "plan_month"))
 
-    def ranking(rows: DataFrame, fields: tuple[str, ...], best: bool, name: str) -> DataFrame:
-        return _listed(_by_revenue(rows, fields[0], best, k), "sale_month", fields, name)
+    def ranking(level: int, fields: tuple[str, ...], best: bool, name: str) -> DataFrame:
+        rows = _by_revenue(_sold(rollup, level), fields[0], best, k)
+        return _listed(rows, "sale_month", fields, name)
 
     return _finish(
-        periods,
+        _periods(rollup, month),
         [
             kpi,
-            ranking(stores, STORE_FIELDS, True, "top_stores"),
-            ranking(stores, STORE_FIELDS, False, "low_stores"),
-            ranking(categories, CATEGORY_FIELDS, True, "top_categories"),
-            ranking(categories, CATEGORY_FIELDS, False, "low_categories"),
-            _plan_struct(weighted, "plan_fact"),
+            ranking(_STORE, STORE_FIELDS, True, "top_stores"),
+            ranking(_STORE, STORE_FIELDS, False, "low_stores"),
+            ranking(_CATEGORY, CATEGORY_FIELDS, True, "top_categories"),
+            ranking(_CATEGORY, CATEGORY_FIELDS, False, "low_categories"),
+            _plan_struct(rollup, "plan_fact"),
         ],
         "month",
     )
@@ -188,14 +210,13 @@ def report_plan_fact(tables: Tables, month: str | None = None, k: int = 5) -> Da
 
     Over all periods this covers the months that have a plan.
     """
-    grid, periods = _grid(tables, month)
-    weighted = planned(grid.withColumnRenamed("month", "plan_month"))
-    if month is None:
-        periods = weighted.select(F.col("plan_month").alias("month")).distinct()
-    parts = [_plan_struct(weighted, "summary")]
-    for key, name in (("store_id", "worst_stores_by_plan"),
-                      ("category", "worst_categories_by_plan")):
-        worst = _by_completion(ranking_from(weighted, key), key, k)
+    rollup = _rollup(tables, month)
+    summary = _plan_struct(rollup, "summary")
+    periods = summary.select("month") if month is None else _periods(rollup, month)
+    parts = [summary]
+    for level, key, name in ((_STORE, "store_id", "worst_stores_by_plan"),
+                             (_CATEGORY, "category", "worst_categories_by_plan")):
+        worst = _by_completion(_with_plan(rollup, level), key, k)
         parts.append(_listed(worst, "plan_month", (key, *PLAN_FIELDS), name))
     return _finish(periods, parts, "month")
 

@@ -33,6 +33,7 @@ class StarSchemaTables(Mapping[str, DataFrame]):
         self.spark = spark
         self.directory = directory
         self._built: dict[str, DataFrame] = {}
+        self._sources: dict[str, DataFrame] = {}
 
     _names = ("stores", "products", "sales", "plan_sales", "inventory", "currency_rates")
 
@@ -50,7 +51,10 @@ class StarSchemaTables(Mapping[str, DataFrame]):
         return len(self._names)
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.directory, f"{name}.parquet"))
+        if name not in self._sources:
+            path = os.path.join(self.directory, f"{name}.parquet")
+            self._sources[name] = self.spark.read.parquet(path)
+        return self._sources[name]
 
     def stores(self) -> DataFrame:
         key = F.col("s_suppkey")

@@ -177,9 +177,10 @@ def test_running_total_equals_the_plain_window(spark):
     # a third of all values are equal
     data = [(i, 50 if i % 3 == 0 else (i * 7919) % 1000) for i in range(3000)]
     frame = spark.createDataFrame(data, "id int, amount long").repartition(5)
-    got = running_total(frame, "amount", [F.desc("amount"), F.asc("id")], "so_far", ranges=7)
+    got = running_total(frame, "amount", [F.desc("amount"), F.asc("id")], "so_far", "all", ranges=7)
     total, expected = 0, {}
     for i, amount in sorted(data, key=lambda r: (-r[1], r[0])):
         total += amount
         expected[i] = total
-    assert {r.id: r.so_far for r in got.collect()} == expected
+    assert {r.id: (r.so_far, r["all"]) for r in got.collect()} == {
+        i: (so_far, total) for i, so_far in expected.items()}
