@@ -1,4 +1,4 @@
-"""Running total over a whole table without a single-task window."""
+"""Running totals over whole tables without a single-task window."""
 
 from __future__ import annotations
 
@@ -12,38 +12,47 @@ from .pinning import pin
 
 def running_total(
     df: DataFrame, value: str, order: Sequence[Column], out: str, grand_total: str,
-    ranges: int | None = None,
+    ranges: int | None = None, within: str | None = None,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all rows up to this one in ``order``.
 
-    ``grand_total`` names a further column for the sum over all rows.
+    ``grand_total`` names a further column for the sum over all rows. Both
+    start afresh for every value of ``within``, if given. ``order`` must be
+    total (inside a ``within`` group).
 
-    ``order`` must be total. Rows are split into ranges of that order; each
-    range is summed by its own task and shifted by the sum of the ranges before
-    it. The split is written out because range borders are sampled: both
-    consumers, and any recomputation, have to see the same borders. Only the
-    per-range sums, as many as there are ranges, ever meet in one task.
+    Rows are split into ranges of the order; each range is summed by its own
+    task and shifted by the sum of the ranges before it. The split is written
+    out because range borders are sampled: both consumers, and any
+    recomputation, have to see the same borders. Only per-range sums, as many
+    as there are ranges, ever meet in one task.
     """
-    spark = df.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = [] if within is None else [within]
     split = pin(
-        df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
+        df.repartitionByRange(ranges, *groups, *order)
+        .withColumn("_range", F.spark_partition_id())
     )
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
+    by_range = Window.partitionBy(*groups).orderBy("_range")
+    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
+    everything = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = (
-        split.groupBy("_range").agg(F.sum(value).alias("_sum"))
+        split.groupBy("_range", *groups).agg(F.sum(value).alias("_sum"))
         .select(
-            "_range",
-            F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"),
+            F.col("_range").alias("_of_range"), *(F.col(g).alias("_of_group") for g in groups),
+            F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"),
             F.sum("_sum").over(everything).alias(grand_total),
         )
     )
-    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = (
+        Window.partitionBy("_range", *groups).orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    match = F.col("_range") == F.col("_of_range")
+    for group in groups:
+        match = match & F.col(group).eqNullSafe(F.col("_of_group"))
     return (
-        split.withColumn("_local", F.sum(value).over(within))
-        .join(offsets, "_range")
+        split.withColumn("_local", F.sum(value).over(inside))
+        .join(offsets, match)
         .withColumn(out, F.col("_local") + F.col("_offset"))
-        .drop("_range", "_local", "_offset")
+        .drop("_range", "_of_range", "_of_group", "_local", "_offset")
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_of
 from ..functions.labels import management
 from ..functions.numbers import TOTAL, exact_avg, or_zero, pct, ratio, total
 from ..operators.aligning import Side, align
+from ..operators.ranking import with_ranks
 from .inventory import inventory_of
 from .plan_fact import cells, plan_of, planned
 from .sales import (
@@ -91,8 +92,10 @@ def retail_kpi_mart(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
-def store_monthly_heatmap(tables: Tables, months: Months = None) -> DataFrame:
-    """Store by month with ranks; a month's ranking holds one row per store."""
+def store_monthly_heatmap(
+    tables: Tables, months: Months = None, one_task_stores: int = 2_000_000
+) -> DataFrame:
+    """Store by month with ranks; a month ranks at most all known stores."""
     by_store = (
         _cells(tables, months)
         .groupBy("report_month", "store_id")
@@ -107,12 +110,12 @@ def store_monthly_heatmap(tables: Tables, months: Months = None) -> DataFrame:
             exact_avg(F.nullif("avg_days_of_cover", F.lit(0))).alias("avg_days_of_cover"),
         )
     )
-    month = Window.partitionBy("report_month")
-    ranked = by_store.withColumns({
-        "revenue_rank": F.rank().over(month.orderBy(F.desc("fact_revenue"))),
-        "profit_rank": F.rank().over(month.orderBy(F.desc("fact_profit"))),
-        "underplan_rank": F.rank().over(month.orderBy(F.asc("revenue_variance"))),
-    })
+    ranks = {
+        "revenue_rank": -F.col("fact_revenue"),
+        "profit_rank": -F.col("fact_profit"),
+        "underplan_rank": F.col("revenue_variance"),
+    }
+    ranked = with_ranks(by_store, "report_month", ranks, tables["stores"].count(), one_task_stores)
     return with_store(ranked, tables).select(
         "report_month", "store_id", *STORE_NAMES,
         "fact_revenue", "fact_profit", "plan_revenue", "revenue_variance",
