@@ -46,12 +46,12 @@ def clean(
     they stay on the result.
     """
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
-    names = entity.staged.names
-    text = landed.withColumns({n: known(n) for n in names})
-    single = one_per_key(text, [*entity.key, *per], order, entity.keep)
+    # only the key decides which copy stays; the rest is read from survivors
+    keyed = landed.withColumns({n: known(n) for n in entity.key})
+    single = one_per_key(keyed, [*entity.key, *per], order, entity.keep)
 
     parsed = single.select(
-        *(parse(F.col(f.name), f.dataType).alias(f.name) for f in entity.staged), *per
+        *(parse(known(f.name), f.dataType).alias(f.name) for f in entity.staged), *per
     )
     if entity.name == "sales":
         # judged on the rounded price and revenue but on the uncut quantity,

@@ -22,5 +22,7 @@ def local_session(app: str = "shopledger", cores: int | str = 8, memory: str = "
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # no Python call site per expression: building a wide mart gets faster
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
