@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,8 +18,16 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) ->
     return df.withColumn("position", rank).filter(F.col("position") <= k)
 
 
-def as_list(ranked: DataFrame, by: str, fields: Sequence[str], name: str) -> DataFrame:
-    """Fold a ``top_k`` result into one array of structs per period."""
-    entries = F.sort_array(F.collect_list(F.struct("position", *fields)))
-    without_position = F.transform(entries, lambda e: F.struct(*(e[f].alias(f) for f in fields)))
-    return ranked.groupBy(by).agg(without_position.alias(name))
+def as_lists(
+    ranked: DataFrame, by: str, fields: Sequence[str], lists: Mapping[str, Column]
+) -> DataFrame:
+    """Fold a ``top_k`` result into arrays of structs, one row per period.
+
+    ``lists`` names each array and the condition its rows meet.
+    """
+    def entries(condition: Column) -> Column:
+        row = F.when(condition, F.struct("position", *fields))
+        ordered = F.sort_array(F.collect_list(row))
+        return F.transform(ordered, lambda e: F.struct(*(e[f].alias(f) for f in fields)))
+
+    return ranked.groupBy(by).agg(*(entries(c).alias(n) for n, c in lists.items()))

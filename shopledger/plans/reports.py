@@ -17,7 +17,7 @@ from ..functions.labels import plan_status as status_of
 from ..functions.numbers import or_zero, total
 from ..operators.pinning import pin
 from ..operators.selectors import check_date, check_month
-from ..operators.topk import as_list, top_k
+from ..operators.topk import as_lists, top_k
 from .inventory import inventory_alerts, inventory_summary
 from .plan_fact import (
     FACT, PLAN, cells, completed, plan_fact_category, plan_fact_store, plan_fact_sums,
@@ -169,7 +169,8 @@ def _periods(rollup: DataFrame, month: str | None) -> DataFrame:
 
 
 def _listed(ranked: DataFrame, period: str, fields: tuple[str, ...], name: str) -> DataFrame:
-    return as_list(ranked, period, fields, name).withColumnRenamed(period, "month")
+    lists = as_lists(ranked, period, fields, {name: F.lit(True)})
+    return lists.withColumnRenamed(period, "month")
 
 
 def _plan_struct(rollup: DataFrame, name: str) -> DataFrame:
@@ -240,8 +241,10 @@ def report_inventory(
             "inventory_date", F.struct("total_stock_qty", "total_stock_value").alias("summary")
         )
     ]
-    for pick, name in ((low_stock_top, "low_stock"), (overstock_top, "overstock")):
-        parts.append(as_list(pick(source, k=k), "inventory_date", POSITION_FIELDS, name))
+    status = F.col("stock_status")
+    at_risk = inventory_alerts(source).filter(status.isin("LOW", "OVERSTOCK"))
+    lists = {"low_stock": status == "LOW", "overstock": status == "OVERSTOCK"}
+    parts.append(as_lists(_most_valuable(at_risk, k), "inventory_date", POSITION_FIELDS, lists))
     report = _finish(periods, parts, "inventory_date")
     return report.withColumnRenamed("inventory_date", "report_date")
 
