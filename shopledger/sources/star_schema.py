@@ -11,32 +11,32 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_of
 from ..schemas import MONEY, PRICE, RATE
 
 
-def store_id(key) -> F.col:
+def store_id(key: str) -> Column:
     return F.concat(F.lit("S"), F.lpad(F.col(key).cast("string"), 6, "0"))
 
 
-def product_id(key) -> F.col:
+def product_id(key: str) -> Column:
     return F.concat(F.lit("P"), F.lpad(F.col(key).cast("string"), 7, "0"))
 
 
 class StarSchemaTables(Mapping[str, DataFrame]):
     """Mapping of retail table name to DataFrame over one data directory."""
 
+    _names = ("stores", "products", "sales", "plan_sales", "inventory", "currency_rates")
+
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory
         self._built: dict[str, DataFrame] = {}
         self._sources: dict[str, DataFrame] = {}
 
-    _names = ("stores", "products", "sales", "plan_sales", "inventory", "currency_rates")
-
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._names:
             raise KeyError(name)

@@ -7,8 +7,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from shopledger.schemas import ENTITIES  # noqa: E402
 from shopledger.session import local_session  # noqa: E402
 
@@ -117,6 +115,3 @@ def text_rows(spark):
         return spark.createDataFrame(data, f"{columns}, landing_position int")
 
     return build
-
-
-__all__ = ["F"]
