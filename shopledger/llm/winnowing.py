@@ -71,16 +71,16 @@ def _item_windows(window: int, gram: int):
 
 def _bits(windows: DataFrame, column: str) -> np.ndarray:
     """A filter of fixed size over a hash column: at most FILTER_BITS / 32768 rows of 4 kB reach the driver."""
-    at = F.pmod(F.col(column), F.lit(FILTER_BITS))
+    at = F.pmod(F.col(column), F.lit(FILTER_BITS)) + 1  # the bitmap functions count from 1
     rows = (
         windows.groupBy(F.bitmap_bucket_number(at).alias("n"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
         .collect()
     )
-    out = np.zeros((FILTER_BITS // 32768 + 2, 4096), np.uint8)
+    out = np.zeros((FILTER_BITS // 32768 + 1, 4096), np.uint8)
     for row in rows:
         out[row.n] = np.frombuffer(row.bits, np.uint8)
-    return np.unpackbits(out[1:].reshape(-1), bitorder="little").view(bool)[:FILTER_BITS + 32768]
+    return np.unpackbits(out[1:].reshape(-1), bitorder="little").view(bool)[:FILTER_BITS]
 
 
 def _document_windows(window: int, gram: int, lengths, filters):
