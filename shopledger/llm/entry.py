@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import subword_classifier, winnowing
+from shopledger.llm import line_dedup, mixing, subword_classifier, winnowing
 from shopledger.llm.scratch import send_code
 
 FOLDS = 5
@@ -29,6 +29,11 @@ def quality_model(spark: SparkSession, documents: DataFrame, sf_dir: str) -> sub
     return subword_classifier.fit(labelled)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_model(spark, documents, sf_dir)
@@ -54,8 +59,33 @@ def _with_code(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+LINE_DEDUP_SQL = """
+WITH lines AS (
+  SELECT doc_id, text, row, i AS at, ls[i] AS line,
+         translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, text, row, ls, unnest(range(1, len(ls) + 1)) AS i
+        FROM (SELECT doc_id, text, row_number() OVER () AS row,
+                     string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
+), often AS (
+  SELECT k, max(doc_id) AS last FROM lines WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+  SELECT l.*, o.k IS NOT NULL AND l.doc_id < o.last AS gone FROM lines l LEFT JOIN often o ON o.k = l.k
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY row
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: _with_code(query) for query in (op7_quality, op8_decontamination)
+    query.__name__: _with_code(query) for query in (
+        op2_line_dedup, op7_quality, op8_decontamination, op9_mixing,
+    )
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP_SQL}
