@@ -65,7 +65,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LINE_DEDUP_SQL = """
 WITH lines AS (
-  SELECT doc_id, text, row, i AS at, ls[i] AS line,
+  SELECT doc_id, text, row, i AS place, ls[i] AS line,
          translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
   FROM (SELECT doc_id, text, row, ls, unnest(range(1, len(ls) + 1)) AS i
@@ -77,7 +77,7 @@ WITH lines AS (
   SELECT l.*, o.k IS NOT NULL AND l.doc_id < o.last AS gone FROM lines l LEFT JOIN often o ON o.k = l.k
 )
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY row
 """
 
