@@ -25,8 +25,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def quality_model(spark: SparkSession, documents: DataFrame, sf_dir: str) -> subword_classifier.Model:
     """Learned from labelled rows that aren't held out."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    labelled = documents.select("doc_id", "text").where(~held_out()).join(labels.where("label IS NOT NULL"), "doc_id")
-    return subword_classifier.fit(labelled)
+    return subword_classifier.fit(documents.select("doc_id", "text"), labels.where(~held_out()))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,14 +130,20 @@ def train(texts: list[str], labels: list[int], *, buckets: int = 1 << 18, size:
     return Model((vectors @ (layer[1] - layer[0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def fit(labelled: DataFrame, *, text_column: str = "text", label_column: str = "label", key_column: str = "doc_id",
-        rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, **settings) -> Model:
-    """A model from at most `rows` labelled texts of at most `chars` characters, the first by a hash of the key."""
+def fit(documents: DataFrame, labels: DataFrame, *, text_column: str = "text", label_column: str = "label",
+        key_column: str = "doc_id", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, **settings) -> Model:
+    """A model from at most `rows` labelled texts of at most `chars` characters, the first labels by a hash of the key.
+
+    The bounded list of labels is sent to the tasks; texts without a label in it aren't moved.
+    """
+    picked = labels.where(F.col(label_column).isin(0, 1)).select(
+        F.col(key_column).alias("key"), F.col(label_column).cast("int").alias("label"), F.xxhash64(key_column).alias("a")
+    ).orderBy("a", "key", "label").limit(rows)
     sample = (
-        labelled.where(F.col(label_column).isin(0, 1) & (F.length(text_column) <= chars))
-        .select(F.col(text_column).alias("text"), F.col(label_column).cast("int").alias("label"),
-                F.xxhash64(F.col(key_column)).alias("a"), F.xxhash64(text_column).alias("b"))
-        .orderBy("a", "b", "label").limit(rows).collect()
+        documents.where(F.length(text_column) <= chars)
+        .select(F.col(key_column).alias("key"), F.col(text_column).alias("text"))
+        .join(F.broadcast(picked), "key")
+        .orderBy("a", "key", "label", F.xxhash64("text")).limit(rows).collect()
     )
     return train([r.text for r in sample], [r.label for r in sample], **settings)
 
