@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import line_dedup, mixing, subword_classifier, winnowing
+from shopledger.llm import (
+    language_id, line_dedup, mixing, pivot_search, subword_classifier, token_store, url_aliases, winnowing,
+)
 from shopledger.llm.scratch import send_code
 
 FOLDS = 5
@@ -28,11 +30,46 @@ def quality_model(spark: SparkSession, documents: DataFrame, sf_dir: str) -> sub
     return subword_classifier.fit(documents.select("doc_id", "text"), labels.where(~held_out()))
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.fit(documents.select("doc_id", "text", "lang").where(~held_out()))
+    found = language_id.identify(documents, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = token_store.write(table(spark, sf_dir, "documents"), tokenizer_file())
+    return store.checksums(store.keys).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+URL_RULES = [
+    url_aliases.Rule("org", "/", "allow"),
+    url_aliases.Rule("example.org", "/es/", "block"),
+    url_aliases.Rule("example.org", "/en/1", "block"),
+    url_aliases.Rule("com", "/fr/", "allow"),
+    url_aliases.Rule("com", "/de/", "block"),
+]
+
+
+def op5_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_aliases.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op6_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20, scale=64)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_model(spark, documents, sf_dir)
@@ -83,7 +120,8 @@ FROM marked GROUP BY row
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: _with_code(query) for query in (
-        op2_line_dedup, op7_quality, op8_decontamination, op9_mixing,
+        op1_language, op2_line_dedup, op4_token_store, op5_url_aliases, op6_pivot_search, op7_quality,
+        op8_decontamination, op9_mixing,
     )
 }
 
