@@ -4,31 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shopledger.llm import (
-    language_id, line_dedup, mixing, pivot_search, subword_classifier, token_store, url_aliases, winnowing,
+    language_id, license_scan, line_dedup, mixing, order_minhash, pivot_search, subword_classifier, token_store, url_aliases,
+    winnowing,
 )
+from shopledger.llm.inputs import GOOD, held_out, quality_model, table, tokenizer_file
 from shopledger.llm.scratch import send_code
 
-FOLDS = 5
-GOOD = 0.3  # least score of a document that counts as good
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def held_out(doc_id: str = "doc_id") -> Column:
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % FOLDS == 0, F.lit(False))
-
-
-def quality_model(spark: SparkSession, documents: DataFrame, sf_dir: str) -> subword_classifier.Model:
-    """Learned from labelled rows that aren't held out."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return subword_classifier.fit(documents.select("doc_id", "text"), labels.where(~held_out()))
-
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -42,10 +28,9 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def tokenizer_file() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = order_minhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "kept")
 
 
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,18 +72,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_code(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        send_code(spark)
-        return query(spark, sf_dir)
-
-    return run
-
-
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 LINE_DEDUP_SQL = """
 WITH lines AS (
   SELECT doc_id, text, row, i AS place, ls[i] AS line,
@@ -118,11 +99,19 @@ FROM marked GROUP BY row
 """
 
 
+def _with_code(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        send_code(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: _with_code(query) for query in (
-        op1_language, op2_line_dedup, op4_token_store, op5_url_aliases, op6_pivot_search, op7_quality,
-        op8_decontamination, op9_mixing,
+        op1_language, op2_line_dedup, op3_near_duplicates, op4_token_store, op5_url_aliases, op6_pivot_search, op7_quality,
+        op8_decontamination, op9_mixing, op10_license_scan,
     )
-}
+} | {"pipeline": _with_code(corpus_pipeline.run)}
 
 SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP_SQL}
