@@ -119,7 +119,8 @@ def dedup(documents: DataFrame, *, id_column: str = "doc_id", text_column: str =
     for batch in range(batches):
         own = keyed.where(F.col("batch") == batch).select(*KEY, "doc_id").distinct()
         runs.add(own.groupBy(*KEY).agg(F.count("*").alias("docs"), F.max("doc_id").alias("last")))
-    often = runs.totals(least_docs).select(*KEY, "last")
+    # written, so that the lines of a very common key can be split over tasks when they are joined
+    often = saved(runs.totals(least_docs).select(*KEY, "last"))
     dropped = keyed.join(often, KEY).where(
         F.coalesce(F.col("doc_id") < F.col("last"), F.col("last").isNotNull())
     ).groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("out"))
