@@ -50,9 +50,9 @@ TABLES = {
                    LEFT JOIN orders ON o_orderkey = l_orderkey""",
     "plan_sales": """
         SELECT strftime(sale_date + INTERVAL 12 MONTH, '%Y-%m') AS plan_month, store_id, category,
-               CAST(round(sum(revenue) * 1.05, 2) AS DECIMAL(14,2)) AS plan_revenue,
-               CAST(round(sum(profit) * 1.05, 2) AS DECIMAL(14,2)) AS plan_profit,
-               CAST(sum(quantity) AS INTEGER) AS plan_qty
+               CAST(round(sum(revenue) * 1.05, 2) AS DECIMAL(24,2)) AS plan_revenue,
+               CAST(round(sum(profit) * 1.05, 2) AS DECIMAL(24,2)) AS plan_profit,
+               CAST(sum(quantity) AS BIGINT) AS plan_qty
         FROM sales GROUP BY ALL""",
     "inventory": """
         SELECT inventory_date, store_id, product_id, stock_qty,

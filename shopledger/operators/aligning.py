@@ -25,13 +25,15 @@ class Side:
 
     ``sums`` are added up; ``distinct``, a name and a column, is counted
     without repeats. A count of the side's rows is always given as
-    ``<side>_rows``; both counts are zero when the side is absent.
+    ``<side>_rows``, from the column ``rows`` where the frame is already summed;
+    both counts are zero when the side is absent.
     """
 
     frame: DataFrame
     keys: Sequence[Column | str]
     sums: Mapping[str, Column | str] = field(default_factory=dict)
     distinct: tuple[str, Column | str] | None = None
+    rows: Column | str | None = None
 
 
 def align(keys: Sequence[str], sides: Mapping[str, Side]) -> DataFrame:
@@ -50,7 +52,8 @@ def align(keys: Sequence[str], sides: Mapping[str, Side]) -> DataFrame:
     counts += [side.distinct[0] for side in sides.values() if side.distinct]
     scales = {a: scale for side in sides.values() for a, scale in _scales(side).items()}
     aggregates = [
-        unscaled(F.sum(a), scales[a]).alias(a) if a in scales else F.sum(a).alias(a)
+        unscaled(F.sum(f"{a}_high"), F.sum(f"{a}_low"), scales[a]).alias(a)
+        if a in scales else F.sum(a).alias(a)
         for side in sides.values() for a in side.sums
     ]
     aggregates += [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]
@@ -58,14 +61,12 @@ def align(keys: Sequence[str], sides: Mapping[str, Side]) -> DataFrame:
 
 
 def _scales(side: Side) -> dict[str, int]:
-    """Decimal measures that can travel as whole numbers of their last digit.
+    """Decimal measures that travel as whole numbers of their last digit.
 
     Wide decimal sums are kept as byte strings and cost several times a long.
-    A group's sum then has to stay below 9.2e18 last digits; going beyond stops
-    the query, provided the session checks overflow, else decimals are used.
+    The number is summed in a high and a low part, so the sum may be far larger
+    than a long.
     """
-    if side.frame.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
-        return {}
     kinds = side.frame.select(*(col(e).alias(a) for a, e in side.sums.items())).schema
     return {
         f.name: f.dataType.scale for f in kinds
@@ -81,18 +82,20 @@ def _measured(name: str, side: Side, keys: Sequence[str]) -> DataFrame:
     """
     named = [col(expr).alias(key) for key, expr in zip(keys, side.keys, strict=True)]
     scales = _scales(side)
-    measures = [
-        (scaled(e, scales[a]) if a in scales else col(e)).alias(a) for a, e in side.sums.items()
-    ]
+    measures: dict[str, Column] = {}
+    for a, e in side.sums.items():
+        measures |= scaled(e, scales[a], a) if a in scales else {a: col(e)}
+    shown = [e.alias(a) for a, e in measures.items()]
     rows = f"{name}_rows"
+    number = F.lit(1) if side.rows is None else col(side.rows)
+    shown.append(number.cast("bigint").alias(rows))
     if side.distinct is None:
-        return side.frame.select(*named, *measures, F.lit(1).cast("bigint").alias(rows))
+        return side.frame.select(*named, *shown)
     label, counted = side.distinct
-    sums = [F.sum(a).alias(a) for a in side.sums]
     return (
-        side.frame.select(*named, *measures, col(counted).alias("_counted"))
+        side.frame.select(*named, *shown, col(counted).alias("_counted"))
         .groupBy(*keys, "_counted")
-        .agg(*sums, F.count(F.lit(1)).alias(rows))
+        .agg(*(F.sum(a).alias(a) for a in (*measures, rows)))
         .withColumn(label, F.col("_counted").isNotNull().cast("bigint"))
         .drop("_counted")
     )

@@ -7,40 +7,44 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .running_total import running_total
+from .sharing import zero_of_all
+from .value_ranges import range_of
 
 
-def with_ranks(
-    df: DataFrame, by: str, ranks: Mapping[str, Column], group_rows: int,
-    one_task_rows: int = 2_000_000,
-) -> DataFrame:
-    """Add a rank column per entry of ``ranks`` (name to order), ties sharing one.
+def with_ranks(df: DataFrame, by: str, ranks: Mapping[str, Column]) -> DataFrame:
+    """Add a rank column per entry of ``ranks`` (name to a number, least first), ties sharing one.
 
-    ``group_rows`` is an upper bound of the rows in one ``by`` group. Groups
-    that fit one task are ranked by a window; beyond ``one_task_rows`` ranks
-    come from running counts over the sorted distinct values, which split a
-    group, however large or tied, over many tasks.
+    A rank is the place inside the value's range plus the rows of the ranges
+    before it, so a group of any size is ranked by many tasks. The rows of all
+    ranges are counted at once, over the same shuffle that ``df`` comes from.
     """
-    if group_rows <= one_task_rows:
-        window = Window.partitionBy(by)
-        return df.withColumns({
-            name: F.rank().over(window.orderBy(order)) for name, order in ranks.items()
-        })
-    for name, order in ranks.items():
-        df = _ranked_by_counts(df, by, order, name)
-    return df
-
-
-def _ranked_by_counts(df: DataFrame, by: str, order: Column, name: str) -> DataFrame:
-    """Rank is one more than the number of rows in the group that sort before."""
-    keyed = df.withColumn("_order", order)
-    values = keyed.groupBy(by, "_order").agg(F.count(F.lit(1)).alias("_rows"))
-    counted = running_total(
-        values, "_rows", [F.col("_order").asc_nulls_first()], "_up_to", "_all", within=by
+    ranged = df.withColumns(
+        {f"_{name}_value": value for name, value in ranks.items()}
+        | {f"_{name}_range": range_of(value) for name, value in ranks.items()}
+    )
+    entries = F.array(*(
+        F.struct(F.lit(name).alias("measure"), F.col(f"_{name}_range").alias("range"))
+        for name in ranks
+    ))
+    in_order = (
+        Window.partitionBy("_by", "measure").orderBy("range")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranks = counted.select(
-        F.col(by).alias("_by"), F.col("_order").alias("_value"),
-        (F.col("_up_to") - F.col("_rows") + 1).cast("int").alias(name),
+    before = (
+        ranged.select(F.col(by).alias("_by"), zero_of_all(df).alias("zero"), F.explode(entries).alias("e"))
+        .groupBy("_by", "e.measure", "e.range").agg(F.sum(F.col("zero") + 1).alias("rows"))
+        .withColumn("before", F.coalesce(F.sum("rows").over(in_order), F.lit(0)))
     )
-    match = F.col(by).eqNullSafe(F.col("_by")) & F.col("_order").eqNullSafe(F.col("_value"))
-    return keyed.join(ranks, match).drop("_order", "_by", "_value")
+    for name in ranks:
+        own = before.filter(F.col("measure") == name).select(
+            F.col("_by").alias("_of"), F.col("range").alias("_of_range"),
+            F.col("before").alias("_before"),
+        )
+        match = F.col(by).eqNullSafe(F.col("_of")) & F.col(f"_{name}_range").eqNullSafe(F.col("_of_range"))
+        inside = Window.partitionBy(by, f"_{name}_range").orderBy(f"_{name}_value")
+        ranged = (
+            ranged.join(own, match)
+            .withColumn(name, (F.rank().over(inside) + F.col("_before")).cast("int"))
+            .drop("_of", "_of_range", "_before")
+        )
+    return ranged.drop(*(f"_{n}_{part}" for n in ranks for part in ("value", "range")))

@@ -7,52 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .pinning import pin
+from .sharing import zero_of_all
+from .value_ranges import range_of
 
 
 def running_total(
-    df: DataFrame, value: str, order: Sequence[Column], out: str, grand_total: str,
-    ranges: int | None = None, within: str | None = None,
+    df: DataFrame, value: str, ties: Sequence[Column], out: str, grand_total: str
 ) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over all rows up to this one in ``order``.
+    """Add ``out``: the sum of ``value`` over all rows up to this one, largest value first.
 
-    ``grand_total`` names a further column for the sum over all rows. Both
-    start afresh for every value of ``within``, if given. ``order`` must be
-    total (inside a ``within`` group).
-
-    Rows are split into ranges of the order; each range is summed by its own
-    task and shifted by the sum of the ranges before it. The split is written
-    out because range borders are sampled: both consumers, and any
-    recomputation, have to see the same borders. Only per-range sums, as many
-    as there are ranges, ever meet in one task.
+    ``ties`` orders rows of equal value and must make the order total;
+    ``grand_total`` names a further column for the sum over all rows. Each
+    range of values is summed by its own task and shifted by the sum of the
+    ranges before it; only those sums meet in one task. Nothing is written.
     """
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = [] if within is None else [within]
-    split = pin(
-        df.repartitionByRange(ranges, *groups, *order)
-        .withColumn("_range", F.spark_partition_id())
-    )
-    by_range = Window.partitionBy(*groups).orderBy("_range")
-    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
-    everything = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranged = df.withColumn("_range", -range_of(F.col(value)))
+    in_order = Window.orderBy("_range")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = (
-        split.groupBy("_range", *groups).agg(F.sum(value).alias("_sum"))
+        ranged.groupBy(F.col("_range").alias("_of_range"))
+        .agg((F.sum(value) + F.sum(zero_of_all(df))).alias("_sum"))
+        .withColumnRenamed("_of_range", "_range")
         .select(
-            F.col("_range").alias("_of_range"), *(F.col(g).alias("_of_group") for g in groups),
+            F.col("_range").alias("_of_range"),
             F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"),
             F.sum("_sum").over(everything).alias(grand_total),
         )
     )
     inside = (
-        Window.partitionBy("_range", *groups).orderBy(*order)
+        Window.partitionBy("_range").orderBy(F.col(value).desc(), *ties)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    match = F.col("_range") == F.col("_of_range")
-    for group in groups:
-        match = match & F.col(group).eqNullSafe(F.col("_of_group"))
     return (
-        split.withColumn("_local", F.sum(value).over(inside))
-        .join(offsets, match)
+        ranged.withColumn("_local", F.sum(value).over(inside))
+        .join(offsets, F.col("_range").eqNullSafe(F.col("_of_range")))
         .withColumn(out, F.col("_local") + F.col("_offset"))
-        .drop("_range", "_of_range", "_of_group", "_local", "_offset")
+        .drop("_range", "_of_range", "_local", "_offset")
     )

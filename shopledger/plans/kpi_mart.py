@@ -10,13 +10,13 @@ from ..functions.labels import management
 from ..functions.numbers import TOTAL, exact_avg, or_zero, pct, ratio, total
 from ..operators.aligning import Side, align
 from ..operators.ranking import with_ranks
+from ..operators.sharing import zero_of_all
 from .inventory import inventory_of
-from .plan_fact import cells, plan_of, planned
-from .sales import (
-    STORE_NAMES, Months, Tables, monthly_sales_kpi, sales_of, with_product, with_store,
-)
+from .plan_fact import cells_of, plan_of, planned
+from .sales import STORE_NAMES, Months, Tables, sales_of, with_product, with_store
 
 _KEY = ("report_month", "store_id", "category")
+_STATUSES = {"LOW": "low_stock", "OVERSTOCK": "overstock", "OK": "ok_stock"}
 
 
 def _cells(tables: Tables, months: Months) -> DataFrame:
@@ -26,7 +26,18 @@ def _cells(tables: Tables, months: Months) -> DataFrame:
     row of its own.
     """
     status = F.col("stock_status")
-    stock = with_product(inventory_of(tables, months), tables, "category")
+    # summed by product first: the join that finds the category meets no single position
+    by_product = (
+        inventory_of(tables, months)
+        .groupBy(month_of("inventory_date").alias("stock_month"), "store_id", "product_id")
+        .agg(
+            F.sum("stock_qty").alias("stock_qty"), total("stock_value").alias("stock_value"),
+            total("days_of_cover").alias("cover_days"),
+            *(F.count_if(status == s).alias(f"{n}_positions") for s, n in _STATUSES.items()),
+            F.count(F.lit(1)).alias("positions"),
+        )
+    )
+    stock = with_product(by_product, tables, "category")
     aligned = align(
         _KEY,
         {
@@ -43,14 +54,14 @@ def _cells(tables: Tables, months: Months) -> DataFrame:
                 sums={c: c for c in ("plan_revenue", "plan_profit", "plan_qty")},
             ),
             "stock": Side(
-                stock, [month_of("inventory_date"), "store_id", "category"],
+                stock, ["stock_month", "store_id", "category"],
                 sums={
-                    "stock_qty": "stock_qty", "stock_value": "stock_value",
-                    "cover_days": "days_of_cover",
-                    "low_stock_positions": (status == "LOW").cast("int"),
-                    "overstock_positions": (status == "OVERSTOCK").cast("int"),
-                    "ok_stock_positions": (status == "OK").cast("int"),
+                    c: c for c in (
+                        "stock_qty", "stock_value", "cover_days",
+                        *(f"{n}_positions" for n in _STATUSES.values()),
+                    )
                 },
+                rows="positions",
             ),
         },
     )
@@ -70,7 +81,7 @@ def _cells(tables: Tables, months: Months) -> DataFrame:
         pct(or_zero("fact_revenue"), "plan_revenue").alias("revenue_plan_completion_pct"),
         pct(or_zero("fact_profit"), "plan_profit").alias("profit_plan_completion_pct"),
         or_zero("stock_qty").alias("stock_qty"),
-        or_zero("stock_value").alias("stock_value"),
+        or_zero("stock_value").cast(TOTAL).alias("stock_value"),
         or_zero(ratio("cover_days", "stock_rows")).alias("avg_days_of_cover"),
         *(or_zero(c).alias(c) for c in (
             "low_stock_positions", "overstock_positions", "ok_stock_positions",
@@ -92,10 +103,8 @@ def retail_kpi_mart(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
-def store_monthly_heatmap(
-    tables: Tables, months: Months = None, one_task_stores: int = 2_000_000
-) -> DataFrame:
-    """Store by month with ranks; a month ranks at most all known stores."""
+def store_monthly_heatmap(tables: Tables, months: Months = None) -> DataFrame:
+    """Store by month with its ranks among all stores of the month, known or not."""
     by_store = (
         _cells(tables, months)
         .groupBy("report_month", "store_id")
@@ -115,7 +124,7 @@ def store_monthly_heatmap(
         "profit_rank": -F.col("fact_profit"),
         "underplan_rank": F.col("revenue_variance"),
     }
-    ranked = with_ranks(by_store, "report_month", ranks, tables["stores"].count(), one_task_stores)
+    ranked = with_ranks(by_store, "report_month", ranks)
     return with_store(ranked, tables).select(
         "report_month", "store_id", *STORE_NAMES,
         "fact_revenue", "fact_profit", "plan_revenue", "revenue_variance",
@@ -127,9 +136,26 @@ def store_monthly_heatmap(
 
 
 def dashboard_summary(tables: Tables, months: Months = None) -> DataFrame:
-    """Month KPIs with plan completion and stock: one row per stock count date."""
-    weighted = planned(cells(tables, months))
-    plan = weighted.groupBy(F.col("plan_month").alias("sale_month")).agg(
+    """Month KPIs with plan completion and stock: one row per stock count date.
+
+    Sales are summed once, by month, store and category; both the month's
+    figures and the plan comparison come from those sums.
+    """
+    sales = (
+        sales_of(tables, months)
+        .groupBy(
+            "sale_month", F.year("sale_date").alias("sale_year"),
+            F.month("sale_date").alias("sale_month_num"), "store_id", "category",
+        )
+        .agg(
+            total("revenue").alias("revenue"), total("profit").alias("profit"),
+            F.sum("quantity").alias("quantity"), F.count(F.lit(1)).alias("sales_rows"),
+        )
+    )
+    weighted = planned(cells_of(sales, tables, months))
+    # a month never empty: else the join would filter this use of the sales, and not the other
+    known_month = F.coalesce("plan_month", F.lit("")).alias("sale_month")
+    plan = weighted.groupBy(known_month).agg(
         total("plan_revenue").alias("plan_revenue"),
         total("fact_revenue").alias("fact_revenue"),
     ).withColumn("revenue_plan_completion_pct", pct("fact_revenue", "plan_revenue"))
@@ -145,8 +171,14 @@ def dashboard_summary(tables: Tables, months: Months = None) -> DataFrame:
         )
         .withColumn("sale_month", month_of("latest_inventory_date"))
     )
-    kpi = monthly_sales_kpi(tables, months).select(
-        "sale_month", "revenue", "profit", "quantity", "margin_pct"
+    kpi = (
+        sales.groupBy("sale_month", "sale_year", "sale_month_num")
+        .agg(
+            total("revenue").alias("revenue"), total("profit").alias("profit"),
+            (F.sum("quantity") + F.sum(zero_of_all(sales))).alias("quantity"),
+        )
+        .withColumn("margin_pct", pct("profit", "revenue"))
+        .drop("sale_year", "sale_month_num")
     )
     return kpi.join(plan, "sale_month", "left").join(stock, "sale_month", "left").select(
         "sale_month", "revenue", "profit", "quantity", "margin_pct",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import TOTAL, or_zero, pct, total
 from ..operators.aligning import Side, align
 from ..operators.selectors import in_months
+from ..operators.sharing import zero_of_all
 from .sales import STORE_NAMES, Months, Tables, sales_of, with_store
 
 CELL = ("plan_month", "store_id", "category")
@@ -42,6 +43,26 @@ def _aligned(tables: Tables, months: Months, keys: tuple[str, ...]) -> DataFrame
     )
 
 
+def cells_of(sales: DataFrame, tables: Tables, months: Months) -> DataFrame:
+    """As ``cells``, from sales already summed by month, store and category.
+
+    ``sales`` has one or more rows per cell with ``sales_rows``, the number of
+    sales in each, and is read in all its columns.
+    """
+    revenue = (F.col("revenue") + zero_of_all(sales)).cast(TOTAL)
+    return align(
+        CELL,
+        {
+            "sales": Side(
+                sales, ["sale_month", "store_id", "category"],
+                {"fact_revenue": revenue, "fact_profit": "profit", "fact_qty": "quantity"},
+                rows="sales_rows",
+            ),
+            "plan": Side(plan_of(tables, months), CELL, {c: c for c in PLAN}),
+        },
+    )
+
+
 def cells(tables: Tables, months: Months = None) -> DataFrame:
     """Every month, store and category that has a plan or a sale."""
     return _aligned(tables, months, CELL)

@@ -11,9 +11,7 @@ from ..operators.running_total import running_total
 from .sales import Months, Tables, sales_of, with_product
 
 
-def abc_xyz_analysis(
-    tables: Tables, months: Months = None, ranges: int | None = None
-) -> DataFrame:
+def abc_xyz_analysis(tables: Tables, months: Months = None) -> DataFrame:
     """Classes per product (and sale category), over months that had sales.
 
     The spread of demand is compared as integers: with n months, sum S and sum
@@ -37,8 +35,8 @@ def abc_xyz_analysis(
         F.count(F.lit(1)).alias("active_months"),
     )
     ranked = running_total(
-        products, "revenue", [F.desc("revenue"), F.asc("product_id"), F.asc("category")],
-        "revenue_so_far", "all_revenue", ranges,
+        products, "revenue", [F.asc("product_id"), F.asc("category")],
+        "revenue_so_far", "all_revenue",
     )
     shares = (
         ranked.withColumn("revenue_share_pct", pct("revenue", "all_revenue", 4))

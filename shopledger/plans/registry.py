@@ -40,11 +40,7 @@ MARTS: dict[str, Callable[..., DataFrame]] = {
 def register_all(
     tables: Tables, months: Months = None, prefix: str = "", marts: Iterable[str] = tuple(MARTS)
 ) -> list[str]:
-    """Make core tables and marts queryable from ``spark.sql``.
-
-    Views are computed when queried, save for ``abc_xyz_analysis``, whose
-    sorted product totals are written out here.
-    """
+    """Make core tables and marts queryable from ``spark.sql``; views are computed when queried."""
     for name, table in tables.items():
         table.createOrReplaceTempView(prefix + name)
     for name in marts:

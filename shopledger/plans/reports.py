@@ -7,7 +7,10 @@ known about it.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +18,8 @@ from pyspark.sql import types as T
 
 from ..functions.labels import plan_status as status_of
 from ..functions.numbers import or_zero, total
-from ..operators.pinning import pin
 from ..operators.selectors import check_date, check_month
+from ..operators.sharing import zero_of_all
 from ..operators.topk import as_lists, top_k
 from .inventory import inventory_alerts, inventory_summary
 from .plan_fact import (
@@ -108,6 +111,10 @@ def _finish(periods: DataFrame, parts: list[DataFrame], key: str) -> DataFrame:
     report = periods
     for part in parts:
         report = report.join(part, key, "left")
+    return _with_knowledge(report)
+
+
+def _with_knowledge(report: DataFrame) -> DataFrame:
     report = _lists_never_null(report)
     known: Column = F.lit(False)
     for f in report.schema:
@@ -119,16 +126,15 @@ def _finish(periods: DataFrame, parts: list[DataFrame], key: str) -> DataFrame:
 
 
 _SOLD = {"revenue": "fact_revenue", "profit": "fact_profit", "quantity": "fact_qty"}
-# grouping ids over (month, store, category): a set bit is a column summed away
-_MONTH, _STORE, _CATEGORY = 0b011, 0b001, 0b010
+_MONTH, _STORE, _CATEGORY = "month", "store", "category"
 
 
 def _rollup(tables: Tables, month: str | None) -> DataFrame:
     """Sales and plan totals by month, by store and by category.
 
     Plans are weighted in the finest cells, which are then summed to all three
-    levels at once and kept: the parts of a report read that small table, the
-    fact tables are scanned a single time.
+    levels at once. ``level`` is an aggregate, so that no part's filter on it
+    sinks below the shuffle, which all parts of a report share.
     """
     months = None if month is None else [check_month(month)]
     has_plan = F.col("plan_rows") > 0
@@ -138,72 +144,108 @@ def _rollup(tables: Tables, month: str | None) -> DataFrame:
         *(F.when(has_plan, e).alias(c) for c, e in weighted_measures().items()),
         has_plan.cast("bigint").alias("plan_cells"),
     )
-    levels = [["month"], ["month", "store_id"], ["month", "category"]]
-    return pin(
-        measured.groupingSets(levels, "month", "store_id", "category").agg(
-            total("revenue").alias("revenue"),
-            total("profit").alias("profit"),
-            F.sum("quantity").alias("quantity"),
-            F.sum("sales_rows").alias("sales_count"),
-            F.sum("plan_cells").alias("plan_cells"),
-            *plan_fact_sums(),
-            F.grouping_id().alias("level"),
+    nothing = F.lit(None).cast("string")
+
+    def place(level: str, store: Column | str, category: Column | str) -> Column:
+        return F.struct(
+            F.lit(level).alias("of"), F.coalesce(store, nothing).alias("store_id"),
+            F.coalesce(category, nothing).alias("category"),
         )
+
+    places = F.array(
+        place(_MONTH, nothing, nothing), place(_STORE, "store_id", nothing),
+        place(_CATEGORY, nothing, "category"),
+    )
+    measures = [c for c in measured.columns if c not in ("store_id", "category")]
+    placed = measured.select(*measures, F.explode(places).alias("place"))
+    summed = placed.select(*measures, "place.*").groupBy("month", "of", "store_id", "category").agg(
+        total("revenue").alias("revenue"),
+        total("profit").alias("profit"),
+        F.sum("quantity").alias("quantity"),
+        F.sum("sales_rows").alias("sales_count"),
+        F.sum("plan_cells").alias("plan_cells"),
+        *plan_fact_sums(),
+        F.max("of").alias("level"),
     )
+    return completed(summed.drop("of"))
 
 
-def _sold(rollup: DataFrame, level: int) -> DataFrame:
-    rows = rollup.filter((F.col("level") == level) & (F.col("sales_count") > 0))
-    return rows.withColumnRenamed("month", "sale_month")
+_SALES, _PLANS = "sales_count", "plan_cells"
 
 
-def _with_plan(rollup: DataFrame, level: int) -> DataFrame:
-    rows = rollup.filter((F.col("level") == level) & (F.col("plan_cells") > 0))
-    return completed(rows).withColumnRenamed("month", "plan_month")
+@dataclass(frozen=True)
+class _Part:
+    """One entry of a report: a struct, or with an order the list of the first rows."""
 
+    level: str
+    having: str
+    fields: tuple[str, ...]
+    order: tuple = ()
 
-def _periods(rollup: DataFrame, month: str | None) -> DataFrame:
-    if month is None:
-        return rollup.filter(F.col("level") == _MONTH).select("month")
-    return rollup.sparkSession.range(1).select(F.lit(month).alias("month"))
 
+def _folded(rollup: DataFrame, parts: Mapping[str, _Part], k: int) -> DataFrame:
+    """One row per month with all parts, from one union of their few rows.
 
-def _listed(ranked: DataFrame, period: str, fields: tuple[str, ...], name: str) -> DataFrame:
-    lists = as_lists(ranked, period, fields, {name: F.lit(True)})
-    return lists.withColumnRenamed(period, "month")
+    Every branch asks for all columns of the rollup, so its shuffle is done
+    once; lists are cut to ``k`` rows per month before the next shuffle.
+    """
+    zero = zero_of_all(rollup)
+    every = rollup.select("*", zero.alias("zero"))
 
+    def branch(name: str, part: _Part) -> DataFrame:
+        rows = every.filter((F.col("level") == part.level) & (F.col(part.having) > 0))
+        ranked = top_k(rows, ["month"], list(part.order), k) if part.order \
+            else rows.withColumn("position", F.lit(1))
+        return ranked.withColumn("part", F.lit(name))
 
-def _plan_struct(rollup: DataFrame, name: str) -> DataFrame:
-    columns = (*PLAN, *FACT, "plan_revenue_pct", "plan_profit_pct")
-    return _with_plan(rollup, _MONTH).select(
-        F.col("plan_month").alias("month"), F.struct(*columns).alias(name)
+    months = every.filter(F.col("level") == _MONTH).withColumns(
+        {"position": F.lit(1), "part": F.lit("")}
     )
+    stacked = reduce(DataFrame.unionByName, [branch(n, p) for n, p in parts.items()], months)
+
+    def folded(name: str, part: _Part) -> Column:
+        position = (F.col("position") + F.col("zero")).alias("position")
+        entry = F.when(F.col("part") == name, F.struct(position, *part.fields))
+        listed = F.transform(
+            F.sort_array(F.collect_list(entry)), lambda e: F.struct(*(e[f].alias(f) for f in part.fields))
+        )
+        return (listed if part.order else F.get(listed, F.lit(0))).alias(name)
+
+    return stacked.groupBy("month").agg(*(folded(n, p) for n, p in parts.items()))
+
+
+def _monthly(folded: DataFrame, month: str | None) -> DataFrame:
+    """The report of all months, or of one month whether it is known or not."""
+    if month is not None:
+        asked = folded.sparkSession.range(1).select(F.lit(month).alias("month"))
+        folded = asked.join(folded, "month", "left")
+    return _with_knowledge(folded)
+
+
+def _ranked(level: str, fields: tuple[str, ...], best: bool) -> _Part:
+    revenue = F.desc("revenue") if best else F.asc("revenue")
+    return _Part(level, _SALES, fields, (revenue, F.asc(fields[0])))
+
+
+def _behind(level: str, key: str) -> _Part:
+    order = (F.asc_nulls_last("plan_revenue_pct"), F.asc(key))
+    return _Part(level, _PLANS, (key, *PLAN_FIELDS), order)
+
+
+_PLAN_FACT = (*PLAN, *FACT, "plan_revenue_pct", "plan_profit_pct")
 
 
 def report_monthly(tables: Tables, month: str | None = None, k: int = 3) -> DataFrame:
     """KPI, best and weakest stores and categories, and plan completion."""
-    rollup = _rollup(tables, month)
-    kpi = _sold(rollup, _MONTH).select(
-        F.col("sale_month").alias("month"),
-        F.struct("revenue", "profit", "quantity", "sales_count").alias("kpi"),
-    )
-
-    def ranking(level: int, fields: tuple[str, ...], best: bool, name: str) -> DataFrame:
-        rows = _by_revenue(_sold(rollup, level), fields[0], best, k)
-        return _listed(rows, "sale_month", fields, name)
-
-    return _finish(
-        _periods(rollup, month),
-        [
-            kpi,
-            ranking(_STORE, STORE_FIELDS, True, "top_stores"),
-            ranking(_STORE, STORE_FIELDS, False, "low_stores"),
-            ranking(_CATEGORY, CATEGORY_FIELDS, True, "top_categories"),
-            ranking(_CATEGORY, CATEGORY_FIELDS, False, "low_categories"),
-            _plan_struct(rollup, "plan_fact"),
-        ],
-        "month",
-    )
+    parts = {
+        "kpi": _Part(_MONTH, _SALES, ("revenue", "profit", "quantity", "sales_count")),
+        "top_stores": _ranked(_STORE, STORE_FIELDS, True),
+        "low_stores": _ranked(_STORE, STORE_FIELDS, False),
+        "top_categories": _ranked(_CATEGORY, CATEGORY_FIELDS, True),
+        "low_categories": _ranked(_CATEGORY, CATEGORY_FIELDS, False),
+        "plan_fact": _Part(_MONTH, _PLANS, _PLAN_FACT),
+    }
+    return _monthly(_folded(_rollup(tables, month), parts, k), month)
 
 
 def report_plan_fact(tables: Tables, month: str | None = None, k: int = 5) -> DataFrame:
@@ -211,15 +253,15 @@ def report_plan_fact(tables: Tables, month: str | None = None, k: int = 5) -> Da
 
     Over all periods this covers the months that have a plan.
     """
-    rollup = _rollup(tables, month)
-    summary = _plan_struct(rollup, "summary")
-    periods = summary.select("month") if month is None else _periods(rollup, month)
-    parts = [summary]
-    for level, key, name in ((_STORE, "store_id", "worst_stores_by_plan"),
-                             (_CATEGORY, "category", "worst_categories_by_plan")):
-        worst = _by_completion(_with_plan(rollup, level), key, k)
-        parts.append(_listed(worst, "plan_month", (key, *PLAN_FIELDS), name))
-    return _finish(periods, parts, "month")
+    parts = {
+        "summary": _Part(_MONTH, _PLANS, _PLAN_FACT),
+        "worst_stores_by_plan": _behind(_STORE, "store_id"),
+        "worst_categories_by_plan": _behind(_CATEGORY, "category"),
+    }
+    folded = _folded(_rollup(tables, month), parts, k)
+    if month is None:
+        folded = folded.filter(F.col("summary").isNotNull())
+    return _monthly(folded, month)
 
 
 def report_inventory(

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import is_weekend, weekday_from_sunday
-from ..functions.numbers import pct, ratio, total
+from ..functions.numbers import TOTAL, pct, ratio, total
 from ..operators.selectors import in_months
+from ..operators.sharing import zero_of_all
 
 Tables = Mapping[str, DataFrame]
 Months = Iterable[str] | None
@@ -67,20 +68,30 @@ def sales_enriched(tables: Tables, months: Months = None) -> DataFrame:
 
 
 def monthly_sales_kpi(tables: Tables, months: Months = None) -> DataFrame:
-    """Month totals; reads sales only, as no dimension attribute is shown."""
+    """Month totals; reads sales only, as no dimension attribute is shown.
+
+    Counting two columns without repeats triples every row it reads, so sales
+    are summed by store and product first.
+    """
+    month = ("sale_month", "sale_year", "sale_month_num")
     return (
         sales_of(tables, months)
         .groupBy(
             "sale_month",
             F.year("sale_date").alias("sale_year"),
             F.month("sale_date").alias("sale_month_num"),
+            "store_id", "product_id",
         )
         .agg(
-            total("revenue").alias("revenue"),
-            total("total_cost").alias("total_cost"),
-            total("profit").alias("profit"),
+            *(total(c).alias(c) for c in ("revenue", "total_cost", "profit")),
             F.sum("quantity").alias("quantity"),
             F.count(F.lit(1)).alias("sales_rows"),
+        )
+        .groupBy(*month)
+        .agg(
+            *(total(c).alias(c) for c in ("revenue", "total_cost", "profit")),
+            F.sum("quantity").alias("quantity"),
+            F.sum("sales_rows").alias("sales_rows"),
             F.count_distinct("store_id").alias("active_stores"),
             F.count_distinct("product_id").alias("active_products"),
         )
@@ -115,20 +126,29 @@ def store_performance(tables: Tables, months: Months = None) -> DataFrame:
 def category_performance(tables: Tables, months: Months = None) -> DataFrame:
     """Category, subcategory, brand and supplier by month, with revenue share.
 
-    The share's base is a second, two-column aggregate joined back by month; a
+    Sales are read once and summed by product and store before anything is
+    joined. The share's base comes from the same sums, joined back by month; a
     window per month would gather all of a month's rows in one task.
     """
-    sales = sales_of(tables, months)
-    month_total = sales.groupBy("sale_month").agg(total("revenue").alias("month_revenue"))
+    fine = (
+        sales_of(tables, months)
+        .groupBy("sale_month", "category", "product_id", "store_id")
+        .agg(
+            *(total(c).alias(c) for c in ("revenue", "total_cost", "profit")),
+            F.sum("quantity").alias("quantity"),
+            F.count(F.lit(1)).alias("sales_rows"),
+        )
+    )
+    month_total = fine.groupBy("sale_month").agg(
+        (F.sum("revenue") + F.sum(zero_of_all(fine))).cast(TOTAL).alias("month_revenue")
+    )
     groups = (
-        with_product(sales, tables, "subcategory", "brand", "supplier")
+        with_product(fine, tables, "subcategory", "brand", "supplier")
         .groupBy("sale_month", "category", "subcategory", "brand", "supplier")
         .agg(
-            total("revenue").alias("revenue"),
-            total("total_cost").alias("total_cost"),
-            total("profit").alias("profit"),
+            *(total(c).alias(c) for c in ("revenue", "total_cost", "profit")),
             F.sum("quantity").alias("quantity"),
-            F.count(F.lit(1)).alias("sales_rows"),
+            F.sum("sales_rows").alias("sales_rows"),
             F.count_distinct("store_id").alias("active_stores"),
         )
         .withColumn("margin_pct", pct("profit", "revenue"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_of
+from ..functions.numbers import TOTAL
 from ..schemas import MONEY, PRICE, RATE
 
 
@@ -159,9 +160,9 @@ class StarSchemaTables(Mapping[str, DataFrame]):
             .withColumn("plan_month", month_of(F.add_months("sale_date", 12)))
             .groupBy("plan_month", "store_id", "category")
             .agg(
-                F.round(F.sum("revenue") * raised, 2).cast(MONEY).alias("plan_revenue"),
-                F.round(F.sum("profit") * raised, 2).cast(MONEY).alias("plan_profit"),
-                F.sum("quantity").cast("int").alias("plan_qty"),
+                F.round(F.sum("revenue") * raised, 2).cast(TOTAL).alias("plan_revenue"),
+                F.round(F.sum("profit") * raised, 2).cast(TOTAL).alias("plan_profit"),
+                F.sum("quantity").alias("plan_qty"),
             )
         )
 

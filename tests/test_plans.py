@@ -1,14 +1,15 @@
 """What the physical plans must and must not contain."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import oracle_sql
 from check import compare
-from shopledger.operators import pinning
 from shopledger.operators.aligning import Side, align
+from shopledger.plans import kpi_mart, product_classes, reports, sales
 from shopledger.plans.plan_fact import plan_fact_trend
 from shopledger.plans.registry import MARTS
 from shopledger.plans.sales import monthly_kpi, monthly_sales_kpi
@@ -57,6 +58,49 @@ def test_alignment_is_one_shuffle_without_joins(stored):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
+def scans(plan, table):
+    return len(re.findall(rf"FileScan parquet .*/{table}[\],]", plan))
+
+
+@pytest.mark.parametrize("query, tables", [
+    (kpi_mart.store_monthly_heatmap, ("sales", "plan_sales", "inventory", "stores")),
+    (kpi_mart.dashboard_summary, ("sales", "plan_sales", "inventory")),
+    (sales.category_performance, ("sales", "products")),
+    (product_classes.abc_xyz_analysis, ("sales", "products")),
+    (reports.report_monthly, ("sales", "plan_sales")),
+    (reports.report_plan_fact, ("sales", "plan_sales")),
+])
+def test_each_table_is_scanned_once(spark, stored, query, tables):
+    # no join may look at sizes here: a broadcast would hide a second shuffle
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed(query(stored))
+        assert [scans(plan, t) for t in tables] == [1] * len(tables)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("mart", [sales.category_performance, kpi_mart.retail_kpi_mart])
+def test_facts_are_summed_before_products_join(spark, stored, mart):
+    """Below a join on the product there is an aggregate, with its map-side half."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        logical = mart(stored)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = logical.split("\n")
+    [at] = [i for i, line in enumerate(lines) if "Join LeftOuter, (product_id" in line]
+    assert "Aggregate [" in "\n".join(lines[at + 1 : at + 4])
+
+
+def test_alignment_sums_beyond_a_long(spark):
+    rows = spark.range(20_000).select(
+        F.lit("k").alias("k"), F.lit("9999999999999999.99").cast("decimal(18,2)").alias("x"))
+    both = {"a": Side(rows, ["k"], {"x": "x"}), "b": Side(rows.selectExpr("k", "-x as x"), ["k"], {"y": "x"})}
+    [row] = align(["k"], both).collect()
+    assert str(row.x) == "199999999999999999800.00" and row.y == -row.x and row.a_rows == 20_000
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_alignment_keeps_decimals_exact(spark, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)
@@ -85,34 +129,9 @@ def test_unread_channel_costs_no_join(spark):
     assert "o_orderkey" not in plan
 
 
-class _Context:
-    def __init__(self, master, folder=None):
-        self.master, self.folder = master, folder
-
-    def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder
-
-
-class _Session:
-    def __init__(self, master, conf):
-        self.sparkContext, self.conf = _Context(master), conf
-
-
-def test_cluster_names_the_shared_folder():
-    cluster = _Session("yarn", {"spark.checkpoint.dir": "hdfs:///shared"})
-    assert pinning.shared_folder(cluster) == "hdfs:///shared"
-    local = pinning.shared_folder(_Session("local[2]", {}))
-    assert os.path.isdir(local)
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        pinning.shared_folder(_Session("yarn", {}))
-
-
 # ---- every query against its SQL statement ----
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_its_statement(spark, name):
     assert compare(spark, DATA, name, oracle_sql()[name]) is None
