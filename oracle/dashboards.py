@@ -25,6 +25,36 @@ SQL = {
         SELECT sales_channel, {real('r')} AS revenue,
             {pct('r', 'sum(r) OVER ()')} AS revenue_share_pct
         FROM (SELECT sales_channel, sum(revenue) AS r FROM sales GROUP BY ALL)"""),
+    "revenue_by_category_of_region": statement("sales stores", f"""
+        SELECT category, {real('sum(revenue)')} AS revenue FROM sales JOIN stores USING (store_id)
+        WHERE region IN ('EUROPE', 'ASIA') AND sale_month >= '1998-01' AND sale_month < '1998-07'
+        GROUP BY ALL"""),
+    "profit_by_brand_of_some": statement("sales products", f"""
+        SELECT brand, {real('sum(profit)')} AS profit FROM sales JOIN products USING (product_id)
+        WHERE brand IN ('Brand#4', 'Brand#5') GROUP BY ALL"""),
+    "variance_by_store_of_category": statement("sales plan_sales stores", f"""
+        SELECT store_name, {real('sum(fr - pr)')} AS revenue_variance
+        FROM f LEFT JOIN stores USING (store_id)
+        WHERE category = 'STANDARD' AND region = 'ASIA' GROUP BY ALL""",
+        **_fan_out("store_id, category")),
+    "revenue_by_store": statement("sales stores", f"""
+        SELECT store_name, {real('sum(revenue)')} AS revenue
+        FROM sales LEFT JOIN stores USING (store_id) GROUP BY ALL"""),
+    "profit_by_store": statement("sales stores", f"""
+        SELECT store_name, {real('sum(profit)')} AS profit
+        FROM sales LEFT JOIN stores USING (store_id) GROUP BY ALL"""),
+    "revenue_per_employee_by_store": statement("sales stores", f"""
+        SELECT store_name, {ratio('sum(r)', 'sum(employees_count)')} AS revenue_per_employee
+        FROM (SELECT store_id, sum(revenue) AS r FROM sales GROUP BY ALL)
+        LEFT JOIN stores USING (store_id) GROUP BY ALL"""),
+    "revenue_per_sqm_by_store": statement("sales stores", f"""
+        SELECT store_name, {ratio('sum(r)', 'sum(store_area_sqm)')} AS revenue_per_sqm
+        FROM (SELECT store_id, sum(revenue) AS r FROM sales GROUP BY ALL)
+        LEFT JOIN stores USING (store_id) GROUP BY ALL"""),
+    "plan_fact_kpis": statement("sales plan_sales", f"""
+        SELECT {real('sum(pr)')} AS plan_revenue, {real('sum(fr)')} AS fact_revenue,
+            {pct('sum(fr)', 'sum(pr)')} AS revenue_plan_completion_pct FROM f""",
+        **_fan_out("plan_month")),
     "sales_table": statement("sales stores products", f"""
         SELECT store_name, product_name, sales.category AS category,
             {real('sum(revenue)')} AS revenue, {real('sum(profit)')} AS profit,

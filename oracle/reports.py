@@ -158,6 +158,25 @@ SQL["report_inventory"] = statement("inventory", f"""
         {real('worth')} AS summary_total_stock_value, low_stock, overstock, {_ALWAYS}
     FROM stock""", **_STOCK_STEPS)
 
+# ---- one period asked for ----
+
+
+def _one(report: str, period: str, value: str, lists: tuple[str, ...]) -> str:
+    """The report's row, or an empty one."""
+    shown = ", ".join(f"coalesce({c}, '') AS {c}" for c in lists)
+    return f"""SELECT asked.{period}, r.* EXCLUDE ({period})
+            REPLACE ({shown}, CAST(coalesce(has_data, 0) AS BIGINT) AS has_data)
+        FROM (SELECT '{value}' AS {period}) AS asked
+        LEFT JOIN ({SQL[report]}) AS r ON r.{period} = asked.{period}"""
+
+
+SQL["report_monthly_of_1998_06"] = _one("report_monthly", "month", "1998-06", tuple(_LISTS))
+SQL["report_monthly_of_unknown"] = _one("report_monthly", "month", "1901-01", tuple(_LISTS))
+SQL["report_plan_fact_of_1998_06"] = _one(
+    "report_plan_fact", "month", "1998-06", ("worst_stores_by_plan", "worst_categories_by_plan"))
+SQL["report_inventory_of_1998_06_30"] = _one(
+    "report_inventory", "report_date", "1998-06-30", ("low_stock", "overstock"))
+
 # ---- narratives ----
 
 
@@ -166,28 +185,25 @@ def _or_none(expr: str) -> str:
 
 
 SQL["narrative_monthly"] = statement("sales plan_sales", f"""
-    SELECT month, {_ALWAYS}, 'In ' || month || ' revenue reached ' || {money_text('r')}
-        || ' RUB and profit ' || {money_text('p')} || ' RUB on ' || {money_text('q')}
-        || ' units sold. The strongest store by revenue is ' || {_or_none('ts_first')} || '; '
-        || {_or_none('ls_first')} || ' needs attention. ' || {_or_none('tc_first')}
-        || ' leads the categories. The revenue plan is completed by ' || {pct_text('done')}
-        || ', the figure to steer the month by.' AS narrative
+    SELECT month, {_ALWAYS}, month || ': ' || {money_text('q')} || ' units brought in '
+        || {money_text('r')} || ' RUB, of which ' || {money_text('p')}
+        || ' RUB are profit. First and last among the stores: ' || {_or_none('ts_first')} || ' and '
+        || {_or_none('ls_first')} || '; first among the categories: ' || {_or_none('tc_first')}
+        || '. Share of planned revenue: ' || {pct_text('done')} || '.' AS narrative
     FROM monthly""", **_MONTHLY_STEPS)
 
 SQL["narrative_plan_fact"] = statement("sales plan_sales", f"""
-    SELECT month, {_ALWAYS}, 'In ' || month || ' the plan is completed by ' || {pct_text('done')}
-        || ' in revenue and ' || {pct_text('done_profit')} || ' in profit: revenue came to '
-        || {money_text('fr')} || ' RUB of ' || {money_text('pr')} || ' RUB planned. Store '
-        || ws_first || ' and category ' || wc_first || ' are furthest behind; look into their'
-        || ' assortment, stock and promotions.' AS narrative
+    SELECT month, {_ALWAYS}, month || ': ' || {money_text('fr')} || ' RUB were taken where '
+        || {money_text('pr')} || ' RUB were planned (' || {pct_text('done')}
+        || '); profit stands at ' || {pct_text('done_profit')}
+        || ' of its plan. Lowest completion: store ' || ws_first || ', category ' || wc_first
+        || '.' AS narrative
     FROM plan""", **_PLAN_STEPS)
 
 SQL["narrative_inventory"] = statement("inventory", f"""
-    SELECT report_date, {_ALWAYS}, 'On ' || report_date || ' stock amounts to '
-        || {money_text('units')} || ' units worth ' || {money_text('worth')}
-        || ' RUB. The lists show ' || nl || ' short and ' || nx || ' excess positions: sales are'
-        || ' at risk in the former, capital is tied up in the latter. Refill LOW positions first'
-        || ' and review purchases of OVERSTOCK ones.' AS narrative
+    SELECT report_date, {_ALWAYS}, 'Count of ' || report_date || ': ' || {money_text('worth')}
+        || ' RUB lie in ' || {money_text('units')} || ' units. Positions listed as LOW: ' || nl
+        || ', as OVERSTOCK: ' || nx || '.' AS narrative
     FROM stock""", **_STOCK_STEPS)
 
 

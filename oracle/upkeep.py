@@ -88,7 +88,7 @@ SQL = {
             PARTITION BY CAST(o_orderdate AS DATE), o_orderpriority
             ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""),
     "ri_sales": statement("sales stores products", f"""
-        SELECT {_SALE_ROW}, {real('revenue')} AS revenue, {_SALE_REST} FROM sales
+        SELECT {_SALE_ROW}, {real('revenue')} AS revenue, {_SALE_REST}, sales_channel FROM sales
         WHERE store_id IN (SELECT store_id FROM stores WHERE employees_count > 0)
           AND product_id IN (SELECT product_id FROM products WHERE unit_price >= 910)"""),
     "ri_inventory": statement("inventory stores products", f"""

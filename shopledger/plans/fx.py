@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_of
 from ..functions.labels import fx_risk
 from ..functions.numbers import change_pct, exact_avg, or_zero, pct, ratio, total
-from ..operators.selectors import dated_in_months
+from ..operators.selectors import (
+    dated_in_months, dated_up_to_months, in_months, over_months, up_to_months,
+)
 from .sales import Months, Tables, sales_of
 
 
+@over_months
 def currency_rates_monthly(tables: Tables, months: Months = None) -> DataFrame:
+    return _by_month(dated_in_months(tables["currency_rates"], "rate_date", months))
+
+
+def _by_month(rates: DataFrame) -> DataFrame:
     rate = F.col("rate_to_rub")
     spread = (F.max(rate) - F.min(rate)) * F.count(rate)
     return (
-        dated_in_months(tables["currency_rates"], "rate_date", months)
-        .groupBy(month_of("rate_date").alias("report_month"), "currency_code", "currency_name")
+        rates.groupBy(month_of("rate_date").alias("report_month"), "currency_code", "currency_name")
         .agg(
             exact_avg(rate, 4).alias("avg_rate_to_rub"),
             F.min(rate).alias("min_rate_to_rub"),
@@ -38,14 +44,15 @@ def currency_rates_monthly(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
+@over_months
 def sales_fx_monthly(tables: Tables, months: Months = None) -> DataFrame:
     """Month totals in every currency with rates that month.
 
     Month-over-month compares with the previous month present on both sides,
-    so ``months`` here is applied after the comparison.
+    so both sides are read up to the last of ``months``.
     """
     sales = (
-        sales_of(tables)
+        up_to_months(sales_of(tables), "sale_month", months)
         .groupBy(F.col("sale_month").alias("report_month"))
         .agg(
             total("revenue").alias("revenue_rub"),
@@ -55,7 +62,7 @@ def sales_fx_monthly(tables: Tables, months: Months = None) -> DataFrame:
         )
         .withColumn("margin_pct", pct("profit_rub", "revenue_rub"))
     )
-    rates = currency_rates_monthly(tables).select(
+    rates = _by_month(dated_up_to_months(tables["currency_rates"], "rate_date", months)).select(
         "report_month", "currency_code", "currency_name",
         "avg_rate_to_rub", "monthly_change_pct", "monthly_volatility_pct",
     )
@@ -74,9 +81,10 @@ def sales_fx_monthly(tables: Tables, months: Months = None) -> DataFrame:
         change_pct("avg_rate_to_rub", "rate_before").alias("avg_rate_mom_pct"),
         change_pct("revenue_rub", "revenue_before").alias("revenue_rub_mom_pct"),
     )
-    return result if months is None else result.filter(F.col("report_month").isin(list(months)))
+    return in_months(result, "report_month", months)
 
 
+@over_months
 def fx_risk_metrics(tables: Tables, months: Months = None) -> DataFrame:
     """Cost pressure of a rate move; no earlier month means no pressure."""
     mom = F.col("avg_rate_mom_pct")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_of
 from ..functions.labels import turnover
 from ..functions.numbers import exact_avg, or_zero, ratio, total
-from ..operators.selectors import dated_in_months, in_months
+from ..operators.selectors import dated_in_months, in_months, over_months
 from .sales import STORE_NAMES, Months, Tables, sales_of, with_product, with_store
 
 
@@ -20,6 +20,7 @@ def inventory_of(tables: Tables, months: Months = None) -> DataFrame:
     return rows
 
 
+@over_months
 def inventory_risks(tables: Tables, months: Months = None) -> DataFrame:
     rows = with_store(inventory_of(tables, months), tables)
     rows = with_product(
@@ -36,6 +37,7 @@ def inventory_risks(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
+@over_months
 def inventory_summary(tables: Tables, months: Months = None) -> DataFrame:
     return (
         inventory_of(tables, months)
@@ -47,6 +49,7 @@ def inventory_summary(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
+@over_months
 def inventory_alerts(tables: Tables, months: Months = None) -> DataFrame:
     """All positions in alert layout; the name promises a filter it never had."""
     return inventory_of(tables, months).select(
@@ -55,6 +58,7 @@ def inventory_alerts(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
+@over_months
 def inventory_turnover(
     tables: Tables, months: Months = None, exact_quantity_ratio: bool = False
 ) -> DataFrame:

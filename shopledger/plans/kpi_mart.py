@@ -13,6 +13,7 @@ from ..operators.ranking import with_ranks
 from ..operators.sharing import zero_of_all
 from .inventory import inventory_of
 from .plan_fact import cells_of, plan_of, planned
+from ..operators.selectors import over_months
 from .sales import STORE_NAMES, Months, Tables, sales_of, with_product, with_store
 
 _KEY = ("report_month", "store_id", "category")
@@ -95,6 +96,7 @@ def _cells(tables: Tables, months: Months) -> DataFrame:
     )
 
 
+@over_months
 def retail_kpi_mart(tables: Tables, months: Months = None) -> DataFrame:
     rows = _cells(tables, months)
     measures = [c for c in rows.columns if c not in _KEY]
@@ -103,6 +105,7 @@ def retail_kpi_mart(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
+@over_months
 def store_monthly_heatmap(tables: Tables, months: Months = None) -> DataFrame:
     """Store by month with its ranks among all stores of the month, known or not."""
     by_store = (
@@ -135,6 +138,7 @@ def store_monthly_heatmap(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
+@over_months
 def dashboard_summary(tables: Tables, months: Months = None) -> DataFrame:
     """Month KPIs with plan completion and stock: one row per stock count date.
 

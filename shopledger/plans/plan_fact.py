@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import TOTAL, or_zero, pct, total
 from ..operators.aligning import Side, align
-from ..operators.selectors import in_months
+from ..operators.selectors import in_months, over_months
 from ..operators.sharing import zero_of_all
 from .sales import STORE_NAMES, Months, Tables, sales_of, with_store
 
@@ -101,6 +101,7 @@ def _with_variance(df: DataFrame) -> DataFrame:
     return _completion(variances, "", "_plan_completion_pct")
 
 
+@over_months
 def category_plan_fact(tables: Tables, months: Months = None) -> DataFrame:
     """Category by month, driven by plans; each plan counts once."""
     both = _aligned(tables, months, ("plan_month", "category")).filter("plan_rows > 0")
@@ -112,6 +113,7 @@ def category_plan_fact(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
+@over_months
 def plan_fact_dashboard(
     tables: Tables, months: Months = None, plan_once: bool = False
 ) -> DataFrame:
@@ -127,6 +129,7 @@ def plan_fact_dashboard(
     )
 
 
+@over_months
 def plan_fact_trend(tables: Tables, months: Months = None) -> DataFrame:
     """All months with a plan or sales; completion is null without a plan."""
     both = _aligned(tables, months, ("plan_month",))
@@ -151,6 +154,7 @@ def _rolled_up(tables: Tables, months: Months, plan_once: bool, *keys: str) -> D
     return completed(weighted.groupBy("plan_month", *keys).agg(*plan_fact_sums()))
 
 
+@over_months
 def plan_fact_summary(tables: Tables, months: Months = None, plan_once: bool = False) -> DataFrame:
     return _rolled_up(tables, months, plan_once).select(
         "plan_month", *PLAN, *FACT, "plan_revenue_pct", "plan_profit_pct"
@@ -163,12 +167,14 @@ _RANKING = (
 )
 
 
+@over_months
 def plan_fact_store(tables: Tables, months: Months = None, plan_once: bool = False) -> DataFrame:
     return _rolled_up(tables, months, plan_once, "store_id").select(
         "plan_month", "store_id", *_RANKING
     )
 
 
+@over_months
 def plan_fact_category(tables: Tables, months: Months = None, plan_once: bool = False) -> DataFrame:
     return _rolled_up(tables, months, plan_once, "category").select(
         "plan_month", "category", *_RANKING

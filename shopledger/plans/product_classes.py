@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from ..functions.labels import abc
 from ..functions.numbers import pct, total
 from ..operators.running_total import running_total
+from ..operators.selectors import over_months
 from .sales import Months, Tables, sales_of, with_product
 
 
+@over_months
 def abc_xyz_analysis(tables: Tables, months: Months = None) -> DataFrame:
     """Classes per product (and sale category), over months that had sales.
 

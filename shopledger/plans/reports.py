@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.labels import plan_status as status_of
 from ..functions.numbers import or_zero, total
-from ..operators.selectors import check_date, check_month
+from ..operators.selectors import check_date, check_month, over_months
 from ..operators.sharing import zero_of_all
 from ..operators.topk import as_lists, top_k
 from .inventory import inventory_alerts, inventory_summary
@@ -52,26 +52,32 @@ def _by_completion(rows: DataFrame, key: str, k: int) -> DataFrame:
     return top_k(rows, ["plan_month"], [F.asc_nulls_last("plan_revenue_pct"), F.asc(key)], k)
 
 
+@over_months
 def top_stores(tables: Tables, months: Months = None, k: int = 3) -> DataFrame:
     return _by_revenue(store_monthly(tables, months), "store_id", True, k)
 
 
+@over_months
 def low_stores(tables: Tables, months: Months = None, k: int = 3) -> DataFrame:
     return _by_revenue(store_monthly(tables, months), "store_id", False, k)
 
 
+@over_months
 def top_categories(tables: Tables, months: Months = None, k: int = 3) -> DataFrame:
     return _by_revenue(category_monthly(tables, months), "category", True, k)
 
 
+@over_months
 def low_categories(tables: Tables, months: Months = None, k: int = 3) -> DataFrame:
     return _by_revenue(category_monthly(tables, months), "category", False, k)
 
 
+@over_months
 def worst_stores_by_plan(tables: Tables, months: Months = None, k: int = 5) -> DataFrame:
     return _by_completion(plan_fact_store(tables, months), "store_id", k)
 
 
+@over_months
 def worst_categories_by_plan(tables: Tables, months: Months = None, k: int = 5) -> DataFrame:
     return _by_completion(plan_fact_category(tables, months), "category", k)
 
@@ -81,14 +87,17 @@ def _most_valuable(rows: DataFrame, k: int) -> DataFrame:
     return top_k(rows, ["inventory_date", "stock_status"], order, k)
 
 
+@over_months
 def low_stock_top(tables: Tables, months: Months = None, k: int = 10) -> DataFrame:
     return _most_valuable(inventory_alerts(tables, months).filter("stock_status = 'LOW'"), k)
 
 
+@over_months
 def overstock_top(tables: Tables, months: Months = None, k: int = 10) -> DataFrame:
     return _most_valuable(inventory_alerts(tables, months).filter("stock_status = 'OVERSTOCK'"), k)
 
 
+@over_months
 def plan_status(tables: Tables, months: Months = None) -> DataFrame:
     """Whether each month's plan was met, by revenue and by profit."""
     return plan_fact_summary(tables, months).select(

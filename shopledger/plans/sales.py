@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import is_weekend, weekday_from_sunday
 from ..functions.numbers import TOTAL, pct, ratio, total
-from ..operators.selectors import in_months
+from ..operators.selectors import in_months, over_months
 from ..operators.sharing import zero_of_all
 
 Tables = Mapping[str, DataFrame]
@@ -37,6 +37,7 @@ def with_product(df: DataFrame, tables: Tables, *columns: str) -> DataFrame:
     return df.join(tables["products"].select("product_id", *columns), "product_id", "left")
 
 
+@over_months
 def sales_enriched(tables: Tables, months: Months = None) -> DataFrame:
     """Every sale with calendar, store and product attributes and unit ratios.
 
@@ -67,6 +68,7 @@ def sales_enriched(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
+@over_months
 def monthly_sales_kpi(tables: Tables, months: Months = None) -> DataFrame:
     """Month totals; reads sales only, as no dimension attribute is shown.
 
@@ -100,6 +102,7 @@ def monthly_sales_kpi(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
+@over_months
 def store_performance(tables: Tables, months: Months = None) -> DataFrame:
     """Store by month. Grouped on the key alone; attributes join the result."""
     by_store = (
@@ -123,6 +126,7 @@ def store_performance(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
+@over_months
 def category_performance(tables: Tables, months: Months = None) -> DataFrame:
     """Category, subcategory, brand and supplier by month, with revenue share.
 
@@ -172,6 +176,7 @@ def _sales_by(tables: Tables, months: Months, *keys: str) -> DataFrame:
     )
 
 
+@over_months
 def monthly_kpi(tables: Tables, months: Months = None) -> DataFrame:
     return (
         sales_of(tables, months)
@@ -185,9 +190,11 @@ def monthly_kpi(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
+@over_months
 def store_monthly(tables: Tables, months: Months = None) -> DataFrame:
     return _sales_by(tables, months, "sale_month", "store_id")
 
 
+@over_months
 def category_monthly(tables: Tables, months: Months = None) -> DataFrame:
     return _sales_by(tables, months, "sale_month", "category")

@@ -24,8 +24,7 @@ def _known_products(tables: StarSchemaTables) -> DataFrame:
 
 
 def ri_sales(tables: StarSchemaTables) -> DataFrame:
-    rows = tables["sales"].drop("sales_channel")
-    return integrity.ri_sales(rows, _known_stores(tables), _known_products(tables))
+    return integrity.ri_sales(tables["sales"], _known_stores(tables), _known_products(tables))
 
 
 def ri_inventory(tables: StarSchemaTables) -> DataFrame:

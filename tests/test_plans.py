@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import oracle_sql
 from check import compare
 from shopledger.operators.aligning import Side, align
-from shopledger.plans import kpi_mart, product_classes, reports, sales
+from shopledger.plans import dashboards, fx, kpi_mart, product_classes, reports, sales
 from shopledger.plans.plan_fact import plan_fact_trend
 from shopledger.plans.registry import MARTS
 from shopledger.plans.sales import monthly_kpi, monthly_sales_kpi
@@ -47,6 +47,25 @@ def test_month_reaches_the_scan_of_every_input(stored):
     assert plan.count("FileScan") == 2 and plan.count("EqualTo(") == 2
 
 
+def test_fx_reads_nothing_after_the_last_month(stored):
+    result = fx.fx_risk_metrics(stored, months=["2024-10", "2024-11"])
+    plan = result._jdf.queryExecution().sparkPlan().toString()
+    assert "LessThanOrEqual(sale_month,2024-11)" in plan and "LessThan(rate_date,2024-12-01)" in plan
+
+
+def test_chosen_months_reach_the_scans_of_a_widget(stored):
+    plan = executed(dashboards.executive_summary(stored, {"sale_month": ["2024-12"]}))
+    assert "EqualTo(sale_month,2024-12)" in plan and "EqualTo(plan_month,2024-12)" in plan
+    assert "GreaterThanOrEqual(inventory_date,2024-12-01)" in plan
+
+
+def test_chosen_stores_and_products_cut_the_facts_first(stored):
+    chosen = {"region": "Central", "brand": "Daily"}
+    logical = dashboards.revenue_by_category(stored, chosen)._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Join LeftSemi") == 2
+    assert logical.index("Aggregate") < logical.index("Join LeftSemi")
+
+
 def test_only_needed_columns_are_read(stored):
     plan = executed(monthly_kpi(stored))
     assert "ReadSchema: struct<sale_month:string,quantity:int,revenue:decimal(14,2)" in plan

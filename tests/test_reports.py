@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopledger.plans import dashboards, narratives, reports
+from shopledger.plans.registry import MARTS
 
 
 @pytest.fixture(scope="module")
@@ -56,7 +57,7 @@ def test_inventory_report_counts_the_capped_lists(chain, rows):
     assert [p["product_id"] for p in got["low_stock"]][:3] == ["P12", "P11", "P10"]
     assert len(got["low_stock"]) == 10 and len(got["overstock"]) == 1
     [told] = rows(narratives.narrative_inventory(chain))
-    assert "10 short and 1 excess" in told["narrative"]
+    assert told["narrative"].endswith("LOW: 10, as OVERSTOCK: 1.")
 
 
 def test_payload_is_plain_json(chain, rows):
@@ -114,3 +115,30 @@ def test_widgets_with_selectors(chain, rows):
     assert gap["revenue_variance"] == -30
     with pytest.raises(ValueError, match="no such columns"):
         dashboards.revenue_by_day(chain, {"weather": ["rain"]})
+
+
+@pytest.mark.parametrize("name", sorted(MARTS))
+def test_months_may_be_any_iterable(chain, rows, name):
+    listed = rows(MARTS[name](chain, ["2024-12", "2024-10"]))
+    once = rows(MARTS[name](chain, (m for m in ("2024-12", "2024-10"))))
+    key = lambda r: sorted(map(str, r.items()))
+    assert sorted(once, key=key) == sorted(listed, key=key)
+    with pytest.raises(ValueError):
+        MARTS[name](chain, iter(["December"]))
+
+
+def test_selectors_may_be_iterators(chain, rows):
+    chosen = {"region": iter(["Volga"]), "sale_month": iter(["2024-12"])}
+    [row] = rows(dashboards.revenue_by_category(chain, chosen))
+    assert row == {"category": "Tea", "revenue": 110}
+
+
+def test_store_charts_and_plan_tiles(chain, rows):
+    assert rows(dashboards.revenue_per_employee_by_store(chain, {"region": "Central"}), "store_name") == [
+        {"store_name": "Store 1", "revenue_per_employee": 1.5},
+        {"store_name": "Store 2", "revenue_per_employee": 2.0}]
+    assert rows(dashboards.revenue_per_sqm_by_store(chain, {"store_name": "Store 5"}))[0]["revenue_per_sqm"] == 0.4
+    assert rows(dashboards.profit_by_store(chain, {"store_format": "none"})) == []
+    assert rows(dashboards.plan_fact_kpis(chain, {"plan_month": "2024-10"})) == [
+        {"plan_revenue": 100, "fact_revenue": 0, "revenue_plan_completion_pct": 0}]
+    assert rows(dashboards.plan_fact_kpis(chain, {"plan_month": "2023-10"}))[0]["plan_revenue"] is None

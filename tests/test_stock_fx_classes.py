@@ -2,10 +2,13 @@ from datetime import date
 
 import pytest
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shopledger.functions.labels import in_russian
+from shopledger.operators.ranking import with_ranks
 from shopledger.operators.running_total import running_total
+from shopledger.operators.value_ranges import range_of
 from shopledger.plans import fx
 from shopledger.plans.inventory import inventory_risks, inventory_turnover
 from shopledger.plans.kpi_mart import dashboard_summary, retail_kpi_mart
@@ -177,10 +180,29 @@ def test_running_total_equals_the_plain_window(spark):
     # a third of all values are equal
     data = [(i, 50 if i % 3 == 0 else (i * 7919) % 1000) for i in range(3000)]
     frame = spark.createDataFrame(data, "id int, amount long").repartition(5)
-    got = running_total(frame, "amount", [F.desc("amount"), F.asc("id")], "so_far", "all", ranges=7)
+    got = running_total(frame, "amount", [F.asc("id")], "so_far", "all")
     total, expected = 0, {}
     for i, amount in sorted(data, key=lambda r: (-r[1], r[0])):
         total += amount
         expected[i] = total
     assert {r.id: (r.so_far, r["all"]) for r in got.collect()} == {
         i: (so_far, total) for i, so_far in expected.items()}
+
+
+def test_ranks_equal_the_plain_window(spark):
+    data = [(i % 2, i, None if i % 50 == 0 else (i * 7919) % 400 - 200) for i in range(2000)]
+    frame = spark.createDataFrame(data, "part int, id int, amount int").repartition(5)
+    got = with_ranks(frame, "part", {"up": F.col("amount"), "down": -F.col("amount")})
+    plain = frame.withColumns({
+        "up": F.rank().over(Window.partitionBy("part").orderBy("amount")),
+        "down": F.rank().over(Window.partitionBy("part").orderBy(-F.col("amount"))),
+    })
+    assert sorted(map(tuple, got.select("id", "up", "down").collect())) == sorted(
+        map(tuple, plain.select("id", "up", "down").collect()))
+
+
+def test_ranges_never_fall(spark):
+    values = sorted([0, 0.01, -0.01, 1, 1.01, 99.99, 100, 1e14, -1e14, 12345.67, 12345.68, -3, 1e9])
+    rows = spark.createDataFrame([(float(v),) for v in values], "v double").select(
+        "v", range_of(F.col("v").cast("decimal(24,2)")).alias("r")).orderBy("v").collect()
+    assert [r.r for r in rows] == sorted(r.r for r in rows)
