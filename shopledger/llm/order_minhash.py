@@ -247,10 +247,11 @@ def classes(documents: DataFrame, *, id_column: str = "doc_id", text_column: str
     in_class = in_class.withColumn(
         "class", F.coalesce("class", F.concat(F.lit("row").cast("binary"), F.col("row").cast("string").cast("binary")))
     )
-    named = in_class.groupBy("class").agg(
+    # written, so that the rows of a very large class can be split over tasks when they get its name
+    named = saved(in_class.groupBy("class").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"),
         F.min(F.struct("doc_id", "row"))["row"].alias("kept_row"),
-    )
+    ))
     return in_class.join(named, "class").select(
         "doc_id", "text_hash", "class_id", "class_size", (F.col("row") == F.col("kept_row")).alias("kept")
     )
