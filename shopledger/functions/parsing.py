@@ -16,6 +16,16 @@ NA_TOKENS = [
 
 _WIDE = "decimal(38,12)"
 
+# Ways of writing a day; a slashed day that doesn't begin with the year has the month first.
+DAY_FORMATS = {
+    r"\d{4}-\d{1,2}-\d{1,2}": "yyyy-M-d",
+    r"\d{4}/\d{1,2}/\d{1,2}": "yyyy/M/d",
+    r"\d{8}": "yyyyMMdd",
+    r"\d{1,2}\.\d{1,2}\.\d{4}": "d.M.yyyy",
+    r"\d{1,2}/\d{1,2}/\d{4}": "M/d/yyyy",
+}
+_CLOCK = r"[ T]+(\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)"
+
 
 def known(c: Column | str) -> Column:
     c = col(c)
@@ -31,14 +41,33 @@ def comma_number(c: Column | str) -> Column:
     return number(F.translate(col(c), ",", "."))
 
 
+def day(c: Column | str) -> Column:
+    """The day of a date or a date with a time; anything else around it makes it null."""
+    text = F.trim(col(c))
+    return F.coalesce(*(
+        F.when(
+            F.rlike(text, F.lit(f"^{pattern}(?:{_CLOCK})?$")),
+            F.try_to_date(F.regexp_extract(text, f"^({pattern})", 1), style),
+        )
+        for pattern, style in DAY_FORMATS.items()
+    ))
+
+
+def moment(c: Column | str) -> Column:
+    """A day with its time, midnight where none is written."""
+    clock = F.nullif(F.regexp_extract(F.trim(col(c)), f"{_CLOCK}$", 1), F.lit(""))
+    written = F.concat_ws(" ", day(c).cast("string"), F.coalesce(clock, F.lit("00:00")))
+    return F.when(day(c).isNotNull(), written.try_cast("timestamp_ntz"))
+
+
 def parse(c: Column, target: T.DataType) -> Column:
     """Read text as ``target``; numbers stay wide until ``narrow`` is applied."""
     if isinstance(target, T.StringType):
         return c
     if isinstance(target, T.DateType):
-        return c.try_cast("date")
+        return day(c)
     if isinstance(target, T.TimestampNTZType):
-        return c.try_cast("timestamp_ntz")
+        return moment(c)
     return number(c)
 
 

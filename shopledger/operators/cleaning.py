@@ -46,6 +46,44 @@ def clean(
     they stay on the result.
     """
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
+    return _typed(entity, landed, order, per).dropna(subset=list(entity.required))
+
+
+def dropped(
+    entity: Entity | str, landed: DataFrame, order: Sequence[Column | str] = (LANDING_ORDER,)
+) -> DataFrame:
+    """Rows that ``clean`` leaves out although their key is the first of its kind.
+
+    One row per reason: ``(table_name, reason, rows)``. A row may lack several
+    required columns and is then counted under each.
+    """
+    entity = ENTITIES[entity] if isinstance(entity, str) else entity
+    keyed = landed.withColumns({n: known(n) for n in entity.key})
+    single = one_per_key(keyed, entity.key, order, entity.keep).select(
+        F.lit(None).cast("boolean").alias("typed"),
+        *(F.lit(True).alias(c) for c in entity.required),
+    )
+    typed = _typed(entity, landed, order, ()).select(
+        F.lit(True).alias("typed"), *(F.col(c).isNotNull().alias(c) for c in entity.required)
+    )
+    counts = single.unionByName(typed).agg(
+        F.count_if(F.col("typed").isNull()).alias("_single"), F.count_if("typed").alias("_typed"),
+        *(F.count_if(~F.col(c)).alias(c) for c in entity.required),
+    )
+    out_of_range = F.col("_single") - F.col("_typed")
+    entries = [F.struct(F.lit("out of range").alias("reason"), out_of_range.alias("rows"))] + [
+        F.struct(F.lit(f"no usable {c}").alias("reason"), F.col(c).alias("rows"))
+        for c in entity.required
+    ]
+    return counts.select(
+        F.lit(entity.name).alias("table_name"), F.inline(F.array(*entries))
+    ).filter("rows > 0")
+
+
+def _typed(
+    entity: Entity, landed: DataFrame, order: Sequence[Column | str], per: Sequence[str]
+) -> DataFrame:
+    """Rows as ``clean`` gives them, with those that miss something required."""
     # only the key decides which copy stays; the rest is read from survivors
     keyed = landed.withColumns({n: known(n) for n in entity.key})
     single = one_per_key(keyed, [*entity.key, *per], order, entity.keep)
@@ -61,14 +99,13 @@ def clean(
             & (F.round("unit_price", 2) >= 0)
             & (F.round("revenue", 2) >= 0)
         )
-    typed = parsed.select(
+    return parsed.select(
         *(
             narrow(_filled(entity, f.name), f.dataType).cast(f.dataType).alias(f.name)
             for f in entity.staged
         ),
         *per,
     )
-    return typed.dropna(subset=list(entity.required))
 
 
 def _filled(entity: Entity, name: str) -> Column:

@@ -11,6 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 
+WITH_PARENTS = ("sales", "inventory", "plan_sales")
+
+
 def having_parent(rows: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return rows.join(parent.select(key), key, "left_semi")
 

@@ -6,15 +6,17 @@ versions in one publication at the end.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import SparkSession
 
 from ..operators import cleaning, integrity, quality
-from ..schemas import CSV_ENTITIES
+from ..schemas import CSV_ENTITIES, CURRENCIES
 from ..sources.landing import append_raw, read_landing
 from ..sources.rates import (
-    RAW_COLUMNS, read_currency_dim, read_rates_history_xml, require_rates,
+    RAW_COLUMNS, currency_codes, read_currency_dim, read_rates_history_xml, require_rates,
 )
 from ..sources.warehouse import Warehouse
 
@@ -23,11 +25,18 @@ MERGE_ORDER = ("stores", "products", "sales", "inventory", "plan_sales", "curren
 
 @dataclass(frozen=True)
 class RateFiles:
-    """Where the rate feed landed: daily files (for names) and histories."""
+    """Where the rate feed landed, and which currencies and days of it to load.
+
+    Daily files give the names, histories the rates. ``codes`` may be the text
+    of a setting, separated by commas; an open ``start`` or ``end`` takes all.
+    """
 
     daily: str
     history: str
     encoding: str = "windows-1251"
+    codes: Sequence[str] | str = CURRENCIES
+    start: date | None = None
+    end: date | None = None
 
 
 def load_raw(spark: SparkSession, landing: str, warehouse: Warehouse) -> None:
@@ -36,20 +45,30 @@ def load_raw(spark: SparkSession, landing: str, warehouse: Warehouse) -> None:
 
 
 def load_raw_rates(spark: SparkSession, files: RateFiles, warehouse: Warehouse) -> None:
-    currencies = read_currency_dim(spark, files.daily, encoding=files.encoding)
-    rates = read_rates_history_xml(spark, files.history, currencies, encoding=files.encoding)
+    codes = currency_codes(files.codes) if isinstance(files.codes, str) else files.codes
+    currencies = read_currency_dim(spark, files.daily, codes, files.encoding)
+    rates = read_rates_history_xml(
+        spark, files.history, currencies, files.start, files.end, files.encoding
+    )
     append_raw(require_rates(rates), warehouse.raw_path("currency_rates"))
 
 
-def stage_csv(spark: SparkSession, landing: str, warehouse: Warehouse) -> None:
+def stage_csv(
+    spark: SparkSession, landing: str, warehouse: Warehouse, keep_rejects: bool = False
+) -> None:
     """Clean the landed files themselves, not the ever-growing raw tables.
 
     Dimensions are staged first and facts are checked against the staged copy,
-    so each dimension is cleaned once. Broken constraints stop the run.
+    so each dimension is cleaned once. Broken constraints stop the run; with
+    ``keep_rejects`` rows that lack a required value are set aside instead,
+    with the names of what they lack, and the rest is loaded.
     """
     for name in CSV_ENTITIES:
         rows = cleaning.clean(name, read_landing(spark, landing, name))
         rows = integrity.related(name, rows, warehouse.staged)
+        if keep_rejects:
+            rows, rejects = quality.split_rejects(name, rows)
+            warehouse.set_aside(name, rejects)
         warehouse.stage(name, rows)
         quality.enforce(name, warehouse.staged(name))
 
@@ -70,12 +89,13 @@ def merge_core(warehouse: Warehouse, names=MERGE_ORDER) -> None:
 
 
 def run(
-    spark: SparkSession, landing: str, root: str, rates: RateFiles | None = None
+    spark: SparkSession, landing: str, root: str, rates: RateFiles | None = None,
+    keep_rejects: bool = False,
 ) -> Warehouse:
     """One complete load; safe to repeat."""
     warehouse = Warehouse(spark, root)
     load_raw(spark, landing, warehouse)
-    stage_csv(spark, landing, warehouse)
+    stage_csv(spark, landing, warehouse, keep_rejects)
     names = [n for n in MERGE_ORDER if n in CSV_ENTITIES]
     if rates is not None:
         load_raw_rates(spark, rates, warehouse)

@@ -50,6 +50,8 @@ class Entity:
     # table has no such column of its own
     partition: str | None = None
     partition_expr: str | None = None
+    # whether rows of one key are always in the same partition
+    partition_follows_key: bool = False
     keep: str = "first"
 
     @property
@@ -132,6 +134,7 @@ INVENTORY = Entity(
     fill={"stock_qty": 0, "reorder_point": 0, "stock_value": 0, "days_of_cover": 0},
     partition="inventory_month",
     partition_expr="date_format(inventory_date, 'yyyy-MM')",
+    partition_follows_key=True,
 )
 
 PLAN_SALES = Entity(
@@ -145,6 +148,7 @@ PLAN_SALES = Entity(
     required=("plan_month", "store_id", "category"),
     fill={"plan_revenue": 0, "plan_profit": 0, "plan_qty": 0},
     partition="plan_month",
+    partition_follows_key=True,
 )
 
 CURRENCY_RATES = Entity(

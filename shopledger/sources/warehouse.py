@@ -9,6 +9,7 @@ half-way leaves unreferenced files and is simply run again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from functools import reduce
 
@@ -20,16 +21,24 @@ from pyspark.sql import types as T
 from ..operators.merge import merge_by_key, stamped
 from ..schemas import ENTITIES, Entity
 
-_LOG = "table_name string, part string, version bigint, live boolean"
+_LOG = "table_name string, part string, version bigint, live boolean, base bigint"
 _WHOLE = "all"
 
 
+class PublicationConflict(RuntimeError):
+    """Another run has published a partition since it was read for merging."""
+
+
 class Warehouse:
-    """Raw, staging and core tables below one folder of shared storage."""
+    """Raw, staging and core tables below one folder of shared storage.
+
+    Each instance stages in a folder of its own, so runs don't meet there.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.run = uuid.uuid4().hex
 
     # ---- raw and staging ----
 
@@ -37,7 +46,10 @@ class Warehouse:
         return f"{self.root}/raw/{name}_raw"
 
     def staging_path(self, name: str) -> str:
-        return f"{self.root}/stg/{name}_clean"
+        return f"{self.root}/stg/{self.run}/{name}_clean"
+
+    def rejects_path(self, name: str) -> str:
+        return f"{self.root}/stg/{self.run}/{name}_rejects"
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.raw_path(name))
@@ -46,8 +58,31 @@ class Warehouse:
         """Replace a staging table."""
         rows.write.mode("overwrite").parquet(self.staging_path(name))
 
-    def staged(self, name: str) -> DataFrame:
-        return self.spark.read.schema(ENTITIES[name].staged).parquet(self.staging_path(name))
+    def staged(self, name: str, layout: T.StructType | None = None) -> DataFrame:
+        layout = layout or ENTITIES[name].staged
+        return self.spark.read.schema(layout).parquet(self.staging_path(name))
+
+    def set_aside(self, name: str, rejects: DataFrame) -> None:
+        rejects.write.mode("overwrite").parquet(self.rejects_path(name))
+
+    # ---- facts that came before their store or product ----
+
+    def pending(self, name: str) -> DataFrame:
+        """Facts of earlier batches that still lack a parent."""
+        current = self._current(f"{name}_pending")
+        layout = ENTITIES[name].staged
+        if not current:
+            return self.spark.createDataFrame([], layout)
+        path = f"{self._table(f'{name}_pending')}/version={current[_WHOLE]}"
+        return self.spark.read.schema(layout).parquet(path)
+
+    def keep_pending(self, name: str, rows: DataFrame) -> list[tuple]:
+        """Replace the pending facts; returns what to publish."""
+        table = f"{name}_pending"
+        base = self._current(table).get(_WHOLE)
+        version = self._next_version()
+        rows.write.parquet(f"{self._table(table)}/version={version}")
+        return [(table, _WHOLE, version, True, base)]
 
     # ---- core ----
 
@@ -67,7 +102,9 @@ class Warehouse:
 
         ``rows`` must hold each key once and read the same every time: pass
         a staged table. Only partitions named by the new rows, or holding an
-        older version of one of them, are read and written.
+        older version of one of them, are rewritten. Where a row's partition
+        follows from its key, older versions can't be anywhere else; otherwise
+        the key columns of all partitions are read to find them.
         """
         entity = ENTITIES[name]
         incoming = stamped(rows.select(*entity.core.names))
@@ -78,10 +115,12 @@ class Warehouse:
             touched = {_WHOLE}
         else:
             keyed = self._with_partition(entity, incoming)
-            moved = self._read(entity, current).join(
-                keyed.select(*entity.key), list(entity.key), "left_semi"
-            )
-            parts = keyed.select(entity.partition).union(moved.select(entity.partition))
+            parts = keyed.select(entity.partition)
+            if not entity.partition_follows_key:
+                moved = self._read(entity, current).join(
+                    keyed.select(*entity.key), list(entity.key), "left_semi"
+                )
+                parts = parts.union(moved.select(entity.partition))
             touched = {row[0] for row in parts.distinct().collect()}
             affected = {part: v for part, v in current.items() if part in touched}
             merged = merge_by_key(self._read(entity, affected), keyed, entity.key)
@@ -100,10 +139,22 @@ class Warehouse:
                 # values come from folder names; no data column is read
                 found = self.spark.read.schema(self._layout(entity)).parquet(path)
                 written = {r[0] for r in found.select(entity.partition).distinct().collect()}
-        return [(name, part, version, part in written) for part in sorted(touched)]
+        return [
+            (name, part, version, part in written, current.get(part)) for part in sorted(touched)
+        ]
 
     def publish(self, changes: list[tuple]) -> None:
-        """Switch readers to the given partitions, all at once."""
+        """Switch readers to the given partitions, all at once.
+
+        Fails if one of them is no longer what the merge read, so that nobody's
+        rows are lost; merge again then. The check and the switch are two steps:
+        let one run publish at a time.
+        """
+        for name in {change[0] for change in changes}:
+            current = self._current(name)
+            moved = [c[1] for c in changes if c[0] == name and current.get(c[1]) != c[4]]
+            if moved:
+                raise PublicationConflict(f"{name}: {', '.join(moved)} changed since the merge")
         if changes:
             frame = self.spark.createDataFrame(changes, _LOG)
             frame.coalesce(1).write.mode("append").json(self._log())

@@ -2,7 +2,9 @@
 
 Structured Streaming only keeps track of which files were seen. Each batch goes
 through the same cleaning and keyed merge, and because the merge replaces rows
-by key, a batch replayed after a failure changes nothing.
+by key, a batch replayed after a failure changes nothing. Facts whose store or
+product isn't known yet wait in a pending table and are merged with the first
+later batch that finds their parents.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import cleaning, integrity, quality
 from ..operators.cleaning import LANDING_ORDER
+from ..operators.integrity import WITH_PARENTS
+from ..operators.merge import merge_by_key
 from ..schemas import ENTITIES
 from ..sources.landing import CSV_OPTIONS, position
 from ..sources.warehouse import Warehouse
@@ -35,10 +39,24 @@ def _merge_batch(warehouse: Warehouse, name: str, batch: DataFrame) -> None:
     load = ["arrived", "source_file"]
     placed = batch.withColumn(LANDING_ORDER, position("source_file", "source_block"))
     per_file = cleaning.clean(name, placed, per=load)
-    rows = cleaning.one_per_key(per_file, ENTITIES[name].key, load, keep="last").drop(*load)
-    warehouse.stage(name, integrity.related(name, rows, warehouse.core))
+    key = list(ENTITIES[name].key)
+    rows = cleaning.one_per_key(per_file, key, load, keep="last").drop(*load)
+    if name not in WITH_PARENTS:
+        warehouse.stage(name, rows)
+        quality.enforce(name, warehouse.staged(name))
+        warehouse.publish(warehouse.merge(name, warehouse.staged(name)))
+        return
+    # facts that came too early are tried again; a newer row of their key replaces them
+    earlier = warehouse.pending(name)
+    waiting = merge_by_key(earlier, rows, key)
+    warehouse.stage(f"{name}_and_pending", waiting)
+    together = warehouse.staged(f"{name}_and_pending", ENTITIES[name].staged)
+    known = integrity.related(name, together, warehouse.core)
+    warehouse.stage(name, known)
     quality.enforce(name, warehouse.staged(name))
-    warehouse.publish(warehouse.merge(name, warehouse.staged(name)))
+    changes = warehouse.merge(name, warehouse.staged(name))
+    left = together.join(warehouse.staged(name).select(*key), key, "left_anti").select(*earlier.columns)
+    warehouse.publish(changes + warehouse.keep_pending(name, left))
 
 
 def ingest_available(

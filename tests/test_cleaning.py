@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopledger.functions import text
+from shopledger.functions.parsing import day, moment
 from shopledger.operators import cleaning, integrity, merge, quality
+from shopledger.operators.cleaning import dropped
 from shopledger.operators.selectors import apply_selectors, check_date, check_month
 
 SALE = dict(
@@ -174,3 +176,34 @@ def test_selectors(make):
     sales = make(sales=[{"category": "A"}, {"category": "B"}, {"category": "C"}])["sales"]
     assert apply_selectors(sales, {"category": ["A", "B"], "store_id": []}).count() == 2
     assert apply_selectors(sales, {"category": "C"}).count() == 1
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("2024-12-31", "2024-12-31"), ("2024/12/31", "2024-12-31"), ("31.12.2024", "2024-12-31"),
+    ("12/31/2024", "2024-12-31"), ("20241231", "2024-12-31"), (" 2024-1-5 ", "2024-01-05"),
+    ("2024-12-31 10:00:00", "2024-12-31"), ("31.12.2024T08:15", "2024-12-31"),
+    ("2024-12-31 abc", None), ("2024-13-01", None), ("31/12/2024", None), ("202412311", None),
+    ("", None), (None, None), ("2024-02-30", None),
+])
+def test_ways_of_writing_a_day(value, text, expected):
+    got = value(day(F.col("x")).cast("string"), "x string", text)
+    assert got == expected
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("2024-12-31 10:05:07.25", "2024-12-31 10:05:07.25"), ("2024/12/31 9:05", "2024-12-31 09:05:00"),
+    ("20241231", "2024-12-31 00:00:00"), ("2024-12-31 25:00", None), ("2024-12-31 10:00 x", None),
+])
+def test_ways_of_writing_a_moment(value, text, expected):
+    assert value(moment(F.col("x")).cast("string"), "x string", text) == expected
+
+
+def test_reasons_for_rows_left_out(text_rows, rows):
+    good = {"sale_id": "1", "invoice_no": "I", "sale_date": "2024-12-01", "sale_month": "2024-12", "store_id": "S", "product_id": "P",
+            "category": "Tea", "quantity": "1", "unit_price": "1", "revenue": "1", "sale_datetime": "2024-12-01"}
+    landed = text_rows("sales", [
+        good, good | {"sale_id": "2", "quantity": "-1"}, good | {"sale_id": "3", "sale_date": "soon"},
+        good | {"sale_id": "4", "sale_date": "later", "store_id": ""}, good, good | {"sale_id": ""},
+    ])
+    got = {r["reason"]: r["rows"] for r in rows(dropped("sales", landed))}
+    assert got == {"out of range": 1, "no usable sale_date": 2, "no usable store_id": 1}

@@ -9,7 +9,8 @@ from shopledger.plans import ingest
 from shopledger.plans.registry import MARTS, register_all
 from shopledger.sources import rates
 from shopledger.sources.landing import read_landing
-from shopledger.sources.warehouse import Warehouse
+from shopledger.operators.quality import QualityError
+from shopledger.sources.warehouse import PublicationConflict, Warehouse
 from shopledger.streaming.incremental import ingest_available
 
 SALES_HEADER = (
@@ -197,3 +198,76 @@ def test_incremental_ingest(spark, landing, tmp_path, rows):
     write(drop, "b.csv", SALES_HEADER, sale(7, quantity="-1"), sale(7), sale(8, revenue="2"))
     assert run() == {"1": 20, "2": 18, "7": 31, "8": 2}
     assert run() == {"1": 20, "2": 18, "7": 31, "8": 2}
+
+
+def test_a_sale_before_its_store_is_merged_later(spark, landing, tmp_path, rows):
+    root, drop, progress = (str(tmp_path / n) for n in ("warehouse", "drop", "progress"))
+    ingest.run(spark, landing, root)
+
+    def run():
+        ingest_available(spark, drop, root, "sales", progress).awaitTermination()
+        return {r["sale_id"]: r["revenue"] for r in rows(Warehouse(spark, root).core("sales"))}
+
+    write(drop, "a.csv", SALES_HEADER, sale(7, store="S003", revenue="30"), sale(8, store="S004"))
+    assert run() == {"1": 18, "2": 18}
+    stores = str(tmp_path / "stores")
+    write(stores, "late.csv",
+          "store_id,store_name,city,region,format,opening_date,store_area_sqm,employees_count",
+          "S003,Three,Tver,Central,Convenience,2020-01-01,100,10")
+    ingest_available(spark, stores, root, "stores", str(tmp_path / "p2")).awaitTermination()
+    write(drop, "b.csv", SALES_HEADER, sale(9))
+    assert run() == {"1": 18, "2": 18, "7": 30, "9": 18}
+    assert [r["sale_id"] for r in rows(Warehouse(spark, root).pending("sales"))] == ["8"]
+    # a newer version of a waiting sale replaces it
+    write(drop, "c.csv", SALES_HEADER, sale(8, revenue="5"))
+    assert run() == {"1": 18, "2": 18, "7": 30, "8": 5, "9": 18}
+    assert rows(Warehouse(spark, root).pending("sales")) == []
+
+
+def test_two_writers_of_one_month(spark, landing, tmp_path, rows):
+    root = str(tmp_path / "warehouse")
+    ingest.run(spark, landing, root)
+    one, two = Warehouse(spark, root), Warehouse(spark, root)
+    assert one.staging_path("sales") != two.staging_path("sales")
+    changes = []
+    for warehouse, number in ((one, 11), (two, 12)):
+        write(landing, "sales.csv", SALES_HEADER, sale(number))
+        ingest.stage_csv(spark, landing, warehouse)
+        changes.append(warehouse.merge("sales", warehouse.staged("sales")))
+    one.publish(changes[0])
+    with pytest.raises(PublicationConflict, match="2024-12"):
+        two.publish(changes[1])
+    two.publish(two.merge("sales", two.staged("sales")))
+    assert [r["sale_id"] for r in rows(two.core("sales"), "sale_id")] == ["1", "11", "12", "2"]
+
+
+def test_rejects_are_set_aside_on_request(spark, landing, tmp_path, rows):
+    write(landing, "sales.csv", SALES_HEADER, sale(1), sale(2).replace(",5,10,8,", ",5,abc,8,"))
+    with pytest.raises(QualityError):
+        ingest.run(spark, landing, str(tmp_path / "strict"))
+    warehouse = ingest.run(spark, landing, str(tmp_path / "lenient"), keep_rejects=True)
+    assert [r["sale_id"] for r in rows(warehouse.core("sales"))] == ["1"]
+    [reject] = rows(spark.read.parquet(warehouse.rejects_path("sales")))
+    assert (reject["sale_id"], reject["missing_columns"]) == ("2", "total_cost")
+
+
+def test_rate_settings(spark, landing, rate_files, tmp_path, rows):
+    chosen = ingest.RateFiles(
+        rate_files.daily, rate_files.history, codes=" usd,", start=date(2024, 12, 2), end=date(2024, 12, 2))
+    got = rows(ingest.run(spark, landing, str(tmp_path / "w"), chosen).core("currency_rates"))
+    assert [(r["currency_code"], str(r["rate_date"])) for r in got] == [("USD", "2024-12-02")]
+
+
+def test_a_plan_merge_reads_only_its_months(spark, landing, tmp_path):
+    root = str(tmp_path / "warehouse")
+    write(landing, "plan_sales.csv", "plan_month,store_id,category,plan_revenue,plan_profit,plan_qty",
+          "2024-12,S001,Tea,100,50,10", "2024-11,S001,Tea,100,50,10")
+    warehouse = ingest.run(spark, landing, root)
+    read = []
+    plain = warehouse._read
+    warehouse._read = lambda entity, current: read.append(sorted(current)) or plain(entity, current)
+    write(landing, "plan_sales.csv", "plan_month,store_id,category,plan_revenue,plan_profit,plan_qty",
+          "2024-12,S001,Tea,120,50,10")
+    ingest.stage_csv(spark, landing, warehouse)
+    warehouse.merge("plan_sales", warehouse.staged("plan_sales"))
+    assert read == [["2024-12"]]
