@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shopledger.llm import (
-    language_id, license_scan, line_dedup, mixing, order_minhash, pivot_search, subword_classifier, token_store, url_aliases,
-    winnowing,
+    language_id, license_scan, line_dedup, mixing, order_minhash, pivot_search, statements, subword_classifier, token_store,
+    url_aliases, winnowing,
 )
 from shopledger.llm.inputs import GOOD, held_out, quality_model, table, tokenizer_file
 from shopledger.llm.scratch import send_code
@@ -80,25 +80,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
-LINE_DEDUP_SQL = """
-WITH lines AS (
-  SELECT doc_id, text, row, i AS place, ls[i] AS line,
-         translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
-                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
-  FROM (SELECT doc_id, text, row, ls, unnest(range(1, len(ls) + 1)) AS i
-        FROM (SELECT doc_id, text, row_number() OVER () AS row,
-                     string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))
-), often AS (
-  SELECT k, max(doc_id) AS last FROM lines WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
-), marked AS (
-  SELECT l.*, o.k IS NOT NULL AND l.doc_id < o.last AS gone FROM lines l LEFT JOIN often o ON o.k = l.k
-)
-SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY row
-"""
-
-
 def _with_code(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         send_code(spark)
@@ -114,4 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 } | {"pipeline": _with_code(corpus_pipeline.run)}
 
-SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP_SQL}
+SQL: dict[str, str] = {
+    "op2_line_dedup": statements.LINE_DEDUP,
+    "op5_url_aliases": statements.url_aliases(URL_RULES),
+    "op6_pivot_search": statements.PIVOT_SEARCH,
+    "op8_decontamination": statements.DECONTAMINATION,
+}

@@ -34,7 +34,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 16
 PICKED = 3
-BLOCK = 256
+BLOCK = 256  # nodes, or
+BLOCK_SHINGLES = 500_000  # shingles of a bucket that are compared in one go with as many others
 _LABEL = np.uint64(0xA0761D6478BD642F)
 
 
@@ -268,15 +269,15 @@ def _rest_links(members: DataFrame, central: DataFrame, grouped: DataFrame, text
     marked = saved(
         members.join(own, "node", "left").withColumn("class", F.coalesce("class", "node"))
         .join(centers, "bucket").withColumn("rest", F.col("class") != F.col("center_class"))
-        .select("bucket", "size", "node", "class", "rest")
+        .select("bucket", "size", "node", "n", "class", "rest")
     )
     # buckets of the same few members are looked at once
     unfinished = marked.groupBy("bucket", "size").agg(
-        F.max("rest").alias("rest"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.hash("node").cast("long")).alias("y")
+        F.max("rest").alias("rest"), F.sum("n").alias("shingles"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.hash("node").cast("long")).alias("y")
     ).where("rest")
-    chosen = unfinished.groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    placed = marked.join(chosen, "bucket").withColumn("blocks", blocks).withColumn(
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.max("shingles") / BLOCK_SHINGLES))
+    chosen = unfinished.groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket"), blocks.alias("blocks"))
+    placed = marked.join(chosen.select("bucket", "blocks"), "bucket").withColumn(
         "own_block", F.pmod(F.xxhash64("node"), F.col("blocks"))
     )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))

@@ -56,3 +56,17 @@ def test_components(spark):
     assert len(rows) == len(got) == 201 + 300 + 2
     assert all(got[i] == 0 for i in range(201)) and all(got[i] == 1000 for i in range(1000, 1300)) and got[7001] == 7000
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_statement_says_the_same(spark):
+    import duckdb
+    import pandas as pd
+
+    from shopledger.llm.statements import url_aliases
+
+    pages = pd.DataFrame(PAGES, columns=["page_id", "url", "html"])  # noqa: F841
+    expected = duckdb.sql(url_aliases(RULES)).fetchall()
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    got = [tuple(r) for r in judge(df, RULES).select("page_id", "host", "path", "rule", "verdict").collect()]
+    plain = lambda rows: sorted(tuple(None if x != x else x for x in r) for r in rows if r[0] == r[0] and r[0])
+    assert plain(got) == plain(expected)
