@@ -2,7 +2,7 @@
 
 The distances of every vector to a fixed number of pivots are computed once. By the triangle inequality |d(q,p) - d(x,p)| is
 at most d(q,x) for each pivot p; with the largest of these, L, the score q.x = (|q|^2 + |x|^2 - d(q,x)^2) / 2 is at most
-(|q|^2 + |x|^2 - L^2) / 2. A query takes candidates in the order of that bound and stops when the bound falls below its k-th
+(|q|^2 + |x|^2 - L^2) / 2. A query takes candidates with the best bounds first and stops where the bound falls below its k-th
 best score, which begins at the k-th best among the pivots. Nothing better can follow, so the result is exact.
 
 Vectors and queries meet in blocks of bounded size. Components are floor(scale * x), kept within 64 bits. Defined cases: vectors that are null or
@@ -22,6 +22,7 @@ from shopledger.llm.scratch import saved
 
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 4096
+QUERIES_AT_ONCE = 64
 _FLOAT_EXACT = 2.0**53
 
 
@@ -35,39 +36,62 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    out = np.empty((len(vectors), len(pivots)))
+    """One row per pivot."""
+    out = np.empty((len(pivots), len(vectors)), np.float32)
     for i, pivot in enumerate(pivots):
-        out[:, i] = np.sqrt(((vectors - pivot) ** 2).sum(axis=1))
+        out[i] = np.sqrt(((vectors - pivot) ** 2).sum(axis=1))
     return out
 
 
+def _best(rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(rows) > k:
+        keep = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        rows, scores = rows[keep], scores[keep]
+    order = np.lexsort((ids[rows], -scores))[:k]
+    return rows[order], scores[order]
+
+
 def nearest(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, pivots: np.ndarray,
             pivot_ids: np.ndarray, k: int) -> list[np.ndarray]:
-    """For each query the rows of its k best candidates in this block, or fewer where others are certainly better."""
-    near, far = distances(queries, pivots), distances(vectors, pivots)
+    """For each query the rows of its k best candidates in this block, or fewer where others are certainly better.
+
+    The candidates with the best bounds are evaluated first. Their k-th score is where the search may stop: of the rest,
+    those whose bound reaches it are evaluated too. If these are most of the block, as where the pivots tell vectors apart
+    badly, one matrix product for several queries is cheaper than picking them out.
+    """
+    far, near = distances(vectors, pivots), distances(queries, pivots)
     query_norms, norms = (queries**2).sum(axis=1), (vectors**2).sum(axis=1)
     by_pivot = products(queries, pivots)
     found = []
-    for i, query in enumerate(queries):
-        known = np.sort(by_pivot[i][pivot_ids != query_ids[i]])[::-1]
-        floor = known[k - 1] if len(known) >= k else -np.inf
-        least = np.zeros(len(vectors))
+    for at in range(0, len(queries), QUERIES_AT_ONCE):
+        part = slice(at, at + QUERIES_AT_ONCE)
+        own = queries[part]
+        least = np.zeros((len(own), len(vectors)), np.float32)
         for p in range(len(pivots)):
-            np.maximum(least, np.abs(far[:, p] - near[i, p]), out=least)
-        sums = query_norms[i] + norms
+            np.maximum(least, np.abs(far[p] - near[p, part, None]), out=least)
+        sums = query_norms[part, None] + norms
         # a little more than the bound, for what rounding may have taken from it
-        bound = (sums - least**2) / 2 + 1e-9 * (1 + sums)
-        rows = np.flatnonzero((bound >= floor) & (ids != query_ids[i]))
-        rows = rows[np.argsort(-bound[rows], kind="stable")]
-        best_rows, best, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 4 * k
-        while at < len(rows) and (len(best) < k or bound[rows[at]] >= best[-1]):
-            more = rows[at : at + step]
-            at, step = at + step, step * 2
-            best_rows = np.concatenate([best_rows, more])
-            best = np.concatenate([best, products(query[None], vectors[more])[0]])
-            order = np.lexsort((ids[best_rows], -best))[:k]
-            best_rows, best = best_rows[order], best[order]
-        found.append(np.stack([best_rows, best]))
+        bound = (sums - np.square(least, dtype=np.float64)) / 2 + 1e-5 * (1 + sums)
+        bound[query_ids[part, None] == ids] = -np.inf
+        promising, floors, alive = [], [], np.zeros(bound.shape, bool)
+        for i in range(len(own)):
+            known = np.sort(by_pivot[at + i][pivot_ids != query_ids[at + i]])[::-1]
+            rows = np.flatnonzero(bound[i] >= (known[k - 1] if len(known) >= k else np.finfo(float).min))
+            if len(rows) > 4 * k:
+                rows = rows[np.argpartition(-bound[i, rows], 4 * k)[: 4 * k]]
+            best = _best(rows, products(own[i : i + 1], vectors[rows])[0], ids, k)
+            promising.append((rows, best))
+            floors.append(best[1][-1] if len(best[0]) == k else known[k - 1] if len(known) >= k else np.finfo(float).min)
+            alive[i] = bound[i] >= floors[-1]
+            alive[i, rows] = False
+        rest = alive.sum()
+        whole = products(own, vectors) if rest > alive.size / 8 else None
+        for i, (_, (best_rows, best)) in enumerate(promising):
+            rows = np.flatnonzero(alive[i])
+            if len(rows):
+                scores = products(own[i : i + 1], vectors[rows])[0] if whole is None else whole[i, rows]
+                best_rows, best = _best(np.concatenate([best_rows, rows]), np.concatenate([best, scores]), ids, k)
+            found.append(np.stack([best_rows, best]))
     return found
 
 
