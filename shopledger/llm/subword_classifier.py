@@ -87,15 +87,21 @@ class Model:
 
 
 def _counted(texts: list[str], buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of each text with their shares, as views of a few large arrays."""
     out = []
-    for value in texts:
-        data = np.frombuffer(value.encode("utf-8", "replace"), np.uint8)
-        found = [b for b, _ in features(data, np.array([0, len(data)]), buckets)] if len(data) else []
-        if sum(map(len, found)):
-            bucket, n = np.unique(np.concatenate(found), return_counts=True)
-            out.append((bucket, (n / n.sum()).astype(np.float32)))
-        else:
-            out.append((np.zeros(0, np.int64), np.zeros(0, np.float32)))
+    for part in T.slices(pa.array(texts, pa.string())):
+        if not len(part.data):
+            out += [(np.zeros(0, np.int32), np.zeros(0, np.float32))] * part.rows
+            continue
+        keys = np.concatenate([
+            np.repeat(np.arange(part.rows), np.diff(before)) * buckets + bucket
+            for bucket, before in features(part.data, part.bounds, buckets)
+        ])
+        keys, n = np.unique(keys, return_counts=True)
+        row = keys // buckets
+        share = (n / np.bincount(row, n, part.rows)[row]).astype(np.float32)
+        bucket, ends = (keys % buckets).astype(np.int32), np.searchsorted(row, np.arange(part.rows + 1))
+        out += [(bucket[x:y], share[x:y]) for x, y in zip(ends, ends[1:])]
     return out
 
 
