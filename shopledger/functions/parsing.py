@@ -24,6 +24,8 @@ DAY_FORMATS = {
     r"\d{1,2}\.\d{1,2}\.\d{4}": "d.M.yyyy",
     r"\d{1,2}/\d{1,2}/\d{4}": "M/d/yyyy",
 }
+# the usual way, which Spark reads by itself
+_ISO = r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
 _CLOCK = r"[ T]+(\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)"
 
 
@@ -44,6 +46,10 @@ def comma_number(c: Column | str) -> Column:
 def day(c: Column | str) -> Column:
     """The day of a date or a date with a time; anything else around it makes it null."""
     text = F.trim(col(c))
+    return F.when(F.rlike(text, F.lit(_ISO)), text.try_cast("date")).otherwise(_other_day(text))
+
+
+def _other_day(text: Column) -> Column:
     return F.coalesce(*(
         F.when(
             F.rlike(text, F.lit(f"^{pattern}(?:{_CLOCK})?$")),
@@ -55,9 +61,12 @@ def day(c: Column | str) -> Column:
 
 def moment(c: Column | str) -> Column:
     """A day with its time, midnight where none is written."""
-    clock = F.nullif(F.regexp_extract(F.trim(col(c)), f"{_CLOCK}$", 1), F.lit(""))
-    written = F.concat_ws(" ", day(c).cast("string"), F.coalesce(clock, F.lit("00:00")))
-    return F.when(day(c).isNotNull(), written.try_cast("timestamp_ntz"))
+    text = F.trim(col(c))
+    clock = F.nullif(F.regexp_extract(text, f"{_CLOCK}$", 1), F.lit(""))
+    other = F.concat(_other_day(text).cast("string"), F.lit(" "), F.coalesce(clock, F.lit("00:00")))
+    return F.when(F.rlike(text, F.lit(_ISO)), text.try_cast("timestamp_ntz")).otherwise(
+        other.try_cast("timestamp_ntz")
+    )
 
 
 def parse(c: Column, target: T.DataType) -> Column:
