@@ -22,6 +22,7 @@ import io
 import json
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,7 +31,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-import unicodedata
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -49,8 +49,10 @@ _SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x20
 
 
 def _open(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    if "://" in folder or folder.startswith("file:"):
-        return pyarrow.fs.FileSystem.from_uri(folder.replace("file:/", "file:///", 1) if not folder.startswith("file://") and folder.startswith("file:") else folder)
+    if folder.startswith("file:/") and not folder.startswith("file://"):
+        folder = "file://" + folder.removeprefix("file:")
+    if "://" in folder:
+        return pyarrow.fs.FileSystem.from_uri(folder)
     return pyarrow.fs.LocalFileSystem(), folder
 
 
@@ -118,11 +120,8 @@ def pieces(points: np.ndarray, kinds: np.ndarray, bounds: np.ndarray) -> np.ndar
         quote, size = quote[size > 0], size[size > 0]
         start[quote + 1] = False
         after = quote + 1 + size
-        start[after[after < n]] |= ~joined[after[after < n]]
-        # what follows white space after an ending keeps its own rule
-        blank = after[(after < n)]
-        blank = blank[space[blank]]
-        start[blank] |= True
+        after = after[after < n]
+        start[after] |= ~joined[after]
     return np.flatnonzero(start)
 
 
@@ -228,8 +227,7 @@ def encoder(path: str) -> Encoder:
 
 def key_hashes(keys: list) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each (id as text or None, number) for its place, and an independent 32-bit fingerprint."""
-    raw = [b"\x00" if k is None else b"%d:%s" % (n, str(k).encode()) for k, n in keys]
-    raw = [b"%d\x00" % n if k is None else r for r, (k, n) in zip(raw, keys)]
+    raw = [b"%d" % n if k is None else b"%d:%s" % (n, str(k).encode()) for k, n in keys]
     place = np.array([xxhash.xxh64_intdigest(r, 1) for r in raw], np.uint64)
     return place, np.array([xxhash.xxh64_intdigest(r, 2) & 0xFFFFFFFF for r in raw], np.uint32)
 
