@@ -5,8 +5,12 @@ of m bigrams and a template of n share c of them (each counted as often as it oc
 is at most the smaller of m and n, a score of t needs m between n t / (2 - t) and n (2 - t) / t: templates of other sizes
 are not compared. Of the rest, only passages with enough bigrams from any template are.
 
+With `inside`, any run of words of a text is a passage too, so that a licence of several paragraphs in a longer text, or a
+notice within a line, is found. The best run begins and ends with a bigram of the template, as leaving out another one at an
+end raises the score, and holds at least n t / (2 - t) of them: all runs from places where that many lie close are scored.
+
 Defined cases: null, empty and one-word passages have no bigram and match nothing; of passages that match a template equally
-well the first counts; equal rows get equal results; other columns are ignored; an empty table gives an empty result.
+well the first counts, a line, paragraph or text before a run with its start; equal rows get equal results; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -115,6 +119,7 @@ class Templates:
         self.known = np.array(sorted(set().union(*self.counts)) if self.counts else [], np.uint64)
         self.low = np.ceil(self.sizes * threshold / (2 - threshold) - 1e-9)
         self.high = np.floor(self.sizes * (2 - threshold) / threshold + 1e-9)
+        self.held = np.array([[c[k] for k in self.known.tolist()] for c in self.counts], np.int64)
 
     def possible(self, grams: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Passages of a template's size range that hold enough known bigrams for the smallest such template."""
@@ -138,6 +143,44 @@ class Templates:
                 if score >= self.threshold:
                     yield name, score
 
+    def runs(self, grams: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, str, float, int, int]]:
+        """Row, licence, score, first and last bigram of the best run of each row and template; row -1: between two rows."""
+        if not len(self.known) or not len(grams):
+            return
+        symbols = np.minimum(np.searchsorted(self.known, grams), len(self.known) - 1)
+        places = np.flatnonzero((self.known[symbols] == grams) & (rows >= 0))
+        symbols = symbols[places]
+        for name, held, n, low, high in zip(self.names, self.held, self.sizes.tolist(), self.low, self.high):
+            own = held[symbols] > 0
+            at, symbol, least = places[own], symbols[own], max(int(low), 1)
+            if len(at) < least:
+                continue
+            row, heads = rows[at], len(at) - least + 1
+            some = np.flatnonzero((at[least - 1 :] - at[:heads] < high) & (row[least - 1 :] == row[:heads]))
+            if not len(some):
+                continue
+            order = np.argsort(symbol, kind="stable")
+            heads = np.flatnonzero(np.diff(symbol[order], prepend=-1))
+            nth = np.empty(len(at), np.int64)  # equal bigrams before this one
+            nth[order] = np.arange(len(at)) - np.repeat(heads, np.diff(np.append(heads, len(at))))
+            stops = np.minimum(np.searchsorted(at, at[some] + int(high)), np.searchsorted(row, row[some], "right"))
+            passed, done = np.zeros(len(self.known), np.int64), 0  # bigrams before the run
+            best: dict[int, tuple[float, int, int]] = {}
+            for i, stop in zip(some.tolist(), stops.tolist()):
+                r = int(row[i])
+                if r in best and best[r][0] == 1:
+                    continue
+                np.add.at(passed, symbol[done:i], 1)
+                done = i
+                inside = symbol[i:stop]
+                common = np.cumsum(nth[i:stop] - passed[inside] < held[inside])
+                score = 2 * common / (at[i:stop] - at[i] + 1 + n)
+                last = int(np.argmax(score))
+                if score[last] >= self.threshold and (r not in best or score[last] > best[r][0]):
+                    best[r] = float(score[last]), int(at[i]), int(at[i + last])
+            for r, (score, first, last) in best.items():
+                yield r, name, score, first, last
+
 
 def passages(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, first and last byte of each line, of each paragraph of several lines, and of each text of several paragraphs."""
@@ -165,10 +208,18 @@ def passages(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def word_end(part: T.Slice, places: np.ndarray, word: int, row: int) -> int:
+    """The byte after a word."""
+    stop = part.bounds[row + 1] if word + 1 == len(places) else min(part.bounds[row + 1], places[word + 1])
+    gaps = np.flatnonzero(~T.IS_WORD[part.data[places[word] : stop]])
+    return int(places[word] + gaps[0] if len(gaps) else stop)
+
+
 def scan(documents: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES, *, threshold: float = THRESHOLD,
-         id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+         inside: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document and licence found: doc_id, license, score, passage (its text), start (its first byte).
 
+    `inside` also finds licences that are only a part of a line or of a text of several paragraphs.
     `templates` is a short list that goes to every task; the texts are read once and nothing is shuffled.
     """
     known = Templates(templates, threshold)
@@ -180,20 +231,26 @@ def scan(documents: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES, *
             for part in T.slices(batch.column(1)):
                 if not len(part.data):
                     continue
-                hashes, places, _ = T.words(part)
+                hashes, places, before = T.words(part)
                 grams = bigrams(hashes)
                 row, start, end = passages(part.data, part.bounds)
                 first, last = np.searchsorted(places, start), np.searchsorted(places, end)
                 sizes = np.maximum(last - first - 1, 0)
                 some = np.flatnonzero((sizes > 0) & known.possible(grams, np.minimum(first, len(grams)), sizes))
-                best: dict[tuple[int, str], tuple[float, int, int]] = {}
+                best: dict[tuple[int, str], tuple[float, int, bool, int]] = {}
                 for i in some:
                     for name, score in known.scores(grams[first[i] : first[i] + sizes[i]]):
-                        key, value = (int(row[i]), name), (score, -int(start[i]), -int(end[i]))
+                        key, value = (int(row[i]), name), (score, -int(start[i]), True, -int(end[i]))
+                        best[key] = max(best.get(key, value), value)
+                if inside:
+                    holder = np.searchsorted(before, np.arange(len(places)), "right") - 1
+                    owner = np.where(holder[1:] == holder[:-1], holder[:-1], -1)
+                    for r, name, score, a, b in known.runs(grams, owner):
+                        key, value = (r, name), (score, -int(places[a]), False, -word_end(part, places, b + 1, r))
                         best[key] = max(best.get(key, value), value)
                 rows = sorted(best)
                 texts = [
-                    part.data[-best[k][1] : -best[k][2]].tobytes().decode("utf-8", "replace").strip() for k in rows
+                    part.data[-best[k][1] : -best[k][3]].tobytes().decode("utf-8", "replace").strip() for k in rows
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
