@@ -21,6 +21,7 @@ from __future__ import annotations
 import io
 import json
 import os
+import re
 import struct
 import unicodedata
 import uuid
@@ -128,7 +129,8 @@ def pieces(points: np.ndarray, kinds: np.ndarray, bounds: np.ndarray) -> np.ndar
 class Encoder:
     """Ids of many texts at once: every different piece goes through the tokenizer once and is remembered.
 
-    A text whose cutting depends on Unicode's version, or a tokenizer of another kind, takes the library's plain way.
+    A text whose cutting depends on Unicode's version or that holds an added token of the tokenizer, such as <|endoftext|>,
+    takes the library's plain way, and so does every text with a tokenizer of another kind.
     """
 
     KEEP = 1_000_000  # remembered pieces; beyond this the memory starts anew
@@ -138,7 +140,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile(b"|".join(re.escape(t) for t in added)) if added else None
         with open(path, encoding="utf-8") as file:
             settings = json.load(file)
         cut = settings.get("pre_tokenizer") or {}
@@ -173,6 +176,15 @@ class Encoder:
         found = [np.asarray(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.concatenate(found), np.array([len(x) for x in found], np.int64)
 
+    def _with_added(self, part: T.Slice) -> np.ndarray:
+        """Rows that hold a byte of an added token's text; a match over two rows counts for both."""
+        out = np.zeros(part.rows, bool)
+        if self.added is not None:
+            for match in self.added.finditer(part.data):
+                first, last = np.searchsorted(part.bounds, [match.start(), match.end() - 1], "right") - 1
+                out[first : last + 1] = True
+        return out
+
     def encode(self, part: T.Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice and their number by row."""
         if not self.by_piece:
@@ -180,8 +192,10 @@ class Encoder:
         points, bounds = code_points(part)
         kinds = self.kinds[points]
         unsure = kinds == _UNSURE
+        odd = self._with_added(part)
         if unsure.any():
-            odd = np.diff(np.concatenate([[0], np.cumsum(unsure)])[bounds]) > 0
+            odd |= np.diff(np.concatenate([[0], np.cumsum(unsure)])[bounds]) > 0
+        if odd.any():
             return self._mixed(part, odd)
         if not len(points):
             return np.zeros(0, np.uint32), np.zeros(part.rows, np.int64)

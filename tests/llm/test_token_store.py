@@ -91,3 +91,41 @@ def test_keyed_access_and_unknown_keys(spark, odd):
 def test_empty_table(odd):
     store = S.write(odd.limit(0), path)
     assert store.checksums(store.keys).collect() == []
+
+
+ADDED = ["x <|endoftext|> y", "<|endoftext|>", "<|endoftext|><|endoftext|>\n", "a<|endoftext|", ">b", "<|endof", "text|> it's", "͸ <|endoftext|>", "plain"]
+
+
+def fresh():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_added_tokens_as_in_the_library(encoder):
+    encode, texts = fresh(), [*ADDED, None, "", *ADDED[::-1]]
+    assert encode(ADDED[0]) == [87, 220, 50256, 331]
+    part = next(T.slices(pa.array(texts, pa.string())))
+    ids, counts = encoder.encode(part)
+    ends = np.cumsum(counts)
+    assert [ids[e - n : e].tolist() for e, n in zip(ends, counts)] == [encode(t) for t in texts]
+    rng = np.random.default_rng(2)
+    parts = np.array(["<|", "endoftext", "|>", "<|endoftext|>", " ", "\n", "'s", "日"])
+    texts = ["".join(rng.choice(parts, rng.integers(0, 9))) for _ in range(500)]
+    ids, counts = encoder.encode(next(T.slices(pa.array(texts, pa.string()))))
+    assert ids.tolist() == [i for t in texts for i in encode(t)] and counts.tolist() == [len(encode(t)) for t in texts]
+
+
+def test_store_and_stage_with_added_tokens(spark):
+    import corpus_pipeline
+
+    df = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    encode, start = fresh(), 0
+    stored = S.write(df, path)
+    staged = corpus_pipeline.STAGES[-1][1](spark, df, "").orderBy("start").collect()
+    for text, r, s in zip(ADDED, sorted(stored.read(stored.keys).collect(), key=lambda r: r.start), staged, strict=True):
+        ids = [*encode(text), 2]
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids and (r.start, s.start) == (start, start)
+        assert (s.n_tokens, s.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
