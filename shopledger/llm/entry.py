@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shopledger.llm import (
-    language_id, license_scan, line_dedup, mixing, order_minhash, pivot_search, statements, subword_classifier, token_store,
-    url_aliases, winnowing,
+    curve_search, fill_in_middle, language_id, license_scan, line_dedup, mixing, order_minhash, pivot_search, product_codes,
+    statements, subword_classifier, token_store, url_aliases, winnowing,
 )
 from shopledger.llm.inputs import GOOD, held_out, quality_model, table, tokenizer_file
-from shopledger.llm.scratch import send_code
+from shopledger.llm.scratch import saved, send_code
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"), inside=True)
 
 
+def op11_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = product_codes.compress(table(spark, sf_dir, "embeddings"))
+    return found.rows.select("vec_id", "code", "error", "label_error", F.lit(found.sha256).alias("codebooks_sha256"))
+
+
+def op12_curve_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_search.search(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = saved(fill_in_middle.store(table(spark, sf_dir, "documents")))
+    return fill_in_middle.digests(fill_in_middle.transform(stored))
+
+
 def _with_code(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         send_code(spark)
@@ -91,7 +105,7 @@ def _with_code(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: _with_code(query) for query in (
         op1_language, op2_line_dedup, op3_near_duplicates, op4_token_store, op5_url_aliases, op6_pivot_search, op7_quality,
-        op8_decontamination, op9_mixing, op10_license_scan,
+        op8_decontamination, op9_mixing, op10_license_scan, op11_product_codes, op12_curve_search, op13_fill_in_middle,
     )
 } | {"pipeline": _with_code(corpus_pipeline.run)}
 
@@ -100,4 +114,6 @@ SQL: dict[str, str] = {
     "op5_url_aliases": statements.url_aliases(URL_RULES),
     "op6_pivot_search": statements.PIVOT_SEARCH,
     "op8_decontamination": statements.DECONTAMINATION,
+    "op11_product_codes": statements.product_codes(),
+    "op13_fill_in_middle": statements.FILL_IN_MIDDLE,
 }

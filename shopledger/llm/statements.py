@@ -130,3 +130,71 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hi
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered USING (row) LEFT JOIN found USING (row)
 """
+
+
+def product_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Each round compares every part with every entry of its codebook."""
+    steps = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS row, * FROM (
+    SELECT vec_id, label, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)
+), size AS (
+  SELECT CAST(ceil(max(len(v)) / {parts}.0) AS BIGINT) AS w FROM kept
+), cells AS MATERIALIZED (
+  SELECT row, (i - 1) // w AS part, (i - 1) % w AS j, coalesce(v[i], 0) AS c
+  FROM (SELECT row, v, w, unnest(range(1, {parts} * w + 1)) AS i FROM kept, size)
+), book0 AS MATERIALIZED (
+  SELECT part, row - 1 AS entry, j, c FROM cells WHERE row <= {entries}
+)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+  SELECT row, part, min(struct_pack(d := d, entry := entry)) AS hit FROM (
+    SELECT x.row, part, b.entry, CAST(sum((x.c - b.c) * (x.c - b.c)) AS BIGINT) AS d
+    FROM cells x JOIN book{r} b USING (part, j) GROUP BY ALL)
+  GROUP BY row, part
+)""")
+        if r < rounds:
+            steps.append(f"""
+book{r + 1} AS MATERIALIZED (
+  SELECT part, entry, j, coalesce((s - ((s % n) + n) % n) // n, b.c) AS c FROM book{r} b LEFT JOIN (
+    SELECT part, hit.entry AS entry, j, CAST(sum(c) AS BIGINT) AS s, count(*) AS n
+    FROM near{r} JOIN cells USING (row, part) GROUP BY ALL) USING (part, entry, j)
+)""")
+    return f"""WITH {",".join(steps)}, coded AS (
+  SELECT row, string_agg(printf('%02x', hit.entry), '' ORDER BY part) AS code, CAST(sum(hit.d) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY row
+), digest AS (
+  SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, j)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (row), digest
+"""
+
+
+FILL_IN_MIDDLE = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units
+  FROM documents
+), drawn AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+), split AS (
+  SELECT *, array_to_string(units[1:least(a, b)], '') AS prefix,
+         array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS middle,
+         array_to_string(units[greatest(a, b) + 1:n], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM split
+"""
