@@ -328,3 +328,12 @@ for _key, _name in (("store_id", "plan_fact_store"), ("category", "plan_fact_cat
             {pct('fr', 'pr')} AS plan_revenue_pct, {real('pp')} AS plan_profit,
             {real('fp')} AS fact_profit, {pct('fp', 'pp')} AS plan_profit_pct
         FROM f""", **_fan_out(f"plan_month, {_key}"))
+
+# folded from days with sketches; these count one by one while values are few
+SQL["monthly_sales_kpi_sketched"] = SQL["monthly_sales_kpi"]
+SQL["store_performance_sketched"] = SQL["store_performance"]
+SQL["category_stores_sketched"] = statement("sales products", f"""
+    SELECT sale_month, sales.category AS category, subcategory, brand, supplier, {_TOTALS},
+        count(*) AS sales_rows, count(DISTINCT store_id) AS active_stores,
+        {pct('sum(profit)', 'sum(revenue)')} AS margin_pct
+    FROM sales LEFT JOIN products USING (product_id) GROUP BY ALL""")

@@ -45,6 +45,13 @@ def _merged(table: str, row: str, key: str, old: str, new: str, before: str, aft
         UNION ALL SELECT {row}, {after} FROM {table} WHERE {new}""")
 
 
+def _voted(value: str, formats: dict[str, str]) -> str:
+    """The format that reads most values, the first of equally good ones."""
+    counts = {name: f"count(try_strptime({value}, '{f}'))" for name, f in formats.items()}
+    best = f"greatest({', '.join(counts.values())})"
+    return "CASE " + " ".join(f"WHEN {n} = {best} THEN '{name}'" for name, n in counts.items()) + " END"
+
+
 SQL = {
     "clean_stores": statement("stores", f"""
         SELECT {_STORE_ROW}, {whole('employees_count')} AS employees_count FROM stores"""),
@@ -109,6 +116,42 @@ SQL = {
             SELECT 'sales', 'unique', 'sale_id', CAST(sum(n) AS BIGINT)
             FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) WHERE n > 1
         ) WHERE bad_rows > 0""",
+    "clean_sales_of_mixed_dates": statement("", f"""
+        SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS sale_id,
+            CAST(l_orderkey AS VARCHAR) AS invoice_no, l_linestatus AS invoice_type,
+            CAST(day AS VARCHAR) || ' 12:30:00' AS sale_datetime, {text('day')} AS sale_date,
+            strftime(day, '%Y-%m') AS sale_month, store_id, product_id,
+            CAST(l_partkey AS VARCHAR) AS stock_code, CAST(NULL AS VARCHAR) AS description,
+            category, {whole('units')} AS quantity, {real('gross')} AS unit_price,
+            {real('CAST(l_discount AS DECIMAL(5,2))')} AS discount_rate,
+            {real('revenue')} AS revenue, {real('total_cost')} AS unit_cost,
+            {real('total_cost')} AS total_cost, {real('revenue - total_cost')} AS profit,
+            CAST(NULL AS VARCHAR) AS customer_id, CAST(NULL AS VARCHAR) AS country,
+            l_returnflag AS sales_channel
+        FROM ({_first('l_orderkey, l_linenumber')})
+        WHERE l_returnflag <> 'R' AND units > 0 AND l_orderkey % 10 <> 7""", line=_LINE),
+    "date_formats": statement("", f"""
+        SELECT 'sales' AS table_name, 'sale_datetime' AS column_name, {_voted(
+            "strftime(day, '%-d.%-m.%Y')", {"d.M.yyyy": "%d.%m.%Y", "M.d.yyyy": "%m.%d.%Y"}
+        )} AS style FROM line
+        UNION ALL
+        SELECT 'sales', 'sale_date', {_voted(
+            "strftime(day, '%m-%d-%Y')", {"d-M-yyyy": "%d-%m-%Y", "M-d-yyyy": "%m-%d-%Y"}
+        )} FROM line
+        UNION ALL
+        SELECT 'currency_rates', 'rate_date', {_voted(
+            "strftime(CAST(o_orderdate AS DATE), '%Y%m%d')", {"yyyyMMdd": "%Y%m%d"}
+        )} FROM orders""", line=_LINE),
+    "quality_check_of_numbers": statement("", f"""
+        SELECT 'sales' AS table_name, rule, columns, bad_rows FROM (
+            SELECT count(*) FILTER (WHERE units % 10 = 1) AS no_type,
+                count(*) FILTER (WHERE units % 10 = 7) AS wide_discount,
+                count(*) FILTER (WHERE l_returnflag = 'A' AND trunc(revenue) >= 1000) AS wide_revenue
+            FROM ({_first('l_orderkey, l_linenumber')}) WHERE l_returnflag <> 'R' AND units > 0
+        ), LATERAL (VALUES ('not_null', 'invoice_type', no_type),
+            ('precision', 'discount_rate', wide_discount),
+            ('precision', 'revenue', wide_revenue)) AS v(rule, columns, bad_rows)
+        WHERE bad_rows > 0""", line=_LINE),
     "upsert_sales": _merged(
         "sales", _SALE_ROW, "sale_id", "sale_date < DATE '2000-01-01'",
         "sale_date >= DATE '1999-01-01'",

@@ -26,6 +26,11 @@ DAY_FORMATS = {
 }
 # the usual way, which Spark reads by itself
 _ISO = r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
+# One format for a whole column; of equally good ones the first here wins.
+COLUMN_STYLES = (
+    "yyyy-M-d", "yyyy/M/d", "yyyyMMdd", "d.M.yyyy", "M.d.yyyy", "M/d/yyyy", "d/M/yyyy", "d-M-yyyy",
+    "M-d-yyyy",
+)
 _CLOCK = r"[ T]+(\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)"
 
 
@@ -59,32 +64,81 @@ def _other_day(text: Column) -> Column:
     ))
 
 
+def _day_text(text: Column) -> Column:
+    return F.regexp_extract(text, rf"^(\d+(?:[-./]\d+)*)(?:{_CLOCK})?$", 1)
+
+
+def column_style(c: Column | str) -> Column:
+    """Aggregate: the format that reads most of a column's values, null if none reads any.
+
+    A day that fits two formats votes for both, so ``05.12.2024`` is settled by
+    the other days of its column.
+    """
+    written = _day_text(F.trim(col(c)))
+    votes = F.array(*(
+        F.struct(
+            F.count(F.try_to_date(written, style)).alias("readable"),
+            F.lit(-place).alias("preference"), F.lit(style).alias("style"),
+        )
+        for place, style in enumerate(COLUMN_STYLES)
+    ))
+    winner = F.array_max(votes)
+    return F.when(winner["readable"] > 0, winner["style"])
+
+
+def styled_day(c: Column | str, chosen: Column) -> Column:
+    """The day as the chosen format of its column reads it; what it can't read is null."""
+    written = _day_text(F.trim(col(c)))
+    ways = [(chosen == style, F.try_to_date(written, style)) for style in COLUMN_STYLES]
+    read = F.when(*ways[0])
+    for way in ways[1:]:
+        read = read.when(*way)
+    return read
+
+
+def styled_moment(c: Column | str, chosen: Column) -> Column:
+    return _timed(F.trim(col(c)), styled_day(c, chosen))
+
+
 def moment(c: Column | str) -> Column:
     """A day with its time, midnight where none is written."""
     text = F.trim(col(c))
-    clock = F.nullif(F.regexp_extract(text, f"{_CLOCK}$", 1), F.lit(""))
-    other = F.concat(_other_day(text).cast("string"), F.lit(" "), F.coalesce(clock, F.lit("00:00")))
     return F.when(F.rlike(text, F.lit(_ISO)), text.try_cast("timestamp_ntz")).otherwise(
-        other.try_cast("timestamp_ntz")
+        _timed(text, _other_day(text))
     )
 
 
-def parse(c: Column, target: T.DataType) -> Column:
-    """Read text as ``target``; numbers stay wide until ``narrow`` is applied."""
+def _timed(text: Column, read: Column) -> Column:
+    clock = F.nullif(F.regexp_extract(text, f"{_CLOCK}$", 1), F.lit(""))
+    return F.concat(
+        read.cast("string"), F.lit(" "), F.coalesce(clock, F.lit("00:00"))
+    ).try_cast("timestamp_ntz")
+
+
+def parse(c: Column, target: T.DataType, style: Column | None = None) -> Column:
+    """Read text as ``target``; numbers stay wide until ``narrow`` is applied.
+
+    With a ``style``, days are read in this one format of their column.
+    """
     if isinstance(target, T.StringType):
         return c
     if isinstance(target, T.DateType):
-        return day(c)
+        return day(c) if style is None else styled_day(c, style)
     if isinstance(target, T.TimestampNTZType):
-        return moment(c)
+        return moment(c) if style is None else styled_moment(c, style)
     return number(c)
 
 
+def fits(c: Column, target: T.DataType) -> Column:
+    """Whether a wide number has room in its column type; null fits."""
+    return c.isNull() | narrow(c, target).isNotNull()
+
+
 def narrow(c: Column, target: T.DataType) -> Column:
     """Round (or, for integers, cut) a wide number to its column type.
 
-    A value too large for the column turns null, and the not-null check that
-    follows cleaning reports it.
+    A value too large for the column turns null; ``fits`` tells such values
+    from missing ones.
     """
     if isinstance(target, T.DecimalType):
         return F.round(c, target.scale).try_cast(target)

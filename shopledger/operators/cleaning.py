@@ -8,14 +8,18 @@ incomplete rows are dropped last.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.parsing import known, narrow, parse
+from pyspark.sql import types as T
+
+from ..functions.parsing import column_style, fits, known, narrow, parse
 from ..schemas import ENTITIES, Entity
 
 LANDING_ORDER = "landing_position"
+OVERFLOWED = "overflowed_columns"
 
 
 def one_per_key(
@@ -38,15 +42,25 @@ def one_per_key(
 
 def clean(
     entity: Entity | str, landed: DataFrame, order: Sequence[Column | str] = (LANDING_ORDER,),
-    per: Sequence[str] = (),
+    per: Sequence[str] = (), dates: str = "each", overflow: bool = False,
 ) -> DataFrame:
     """Typed, de-duplicated and complete rows of one landed table.
 
     Columns named in ``per`` separate loads that are cleaned independently;
-    they stay on the result.
+    they stay on the result. ``dates="each"`` reads every day by what it looks
+    like; ``dates="column"`` finds the one format that reads most values of a
+    column of a load, and nothing else of that column is readable then.
+    ``overflow`` adds the names of the columns whose number was too large, and
+    keeps such rows even where the number is required.
     """
+    if dates not in ("each", "column"):
+        raise ValueError("dates are read 'each' for itself or by 'column'")
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
-    return _typed(entity, landed, order, per).dropna(subset=list(entity.required))
+    rows = _typed(entity, landed, order, per, dates)
+    if not overflow:
+        return rows.drop(OVERFLOWED).dropna(subset=list(entity.required))
+    complete = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in entity.required))
+    return rows.filter(complete | (F.size(OVERFLOWED) > 0))
 
 
 def dropped(
@@ -80,17 +94,43 @@ def dropped(
     ).filter("rows > 0")
 
 
+def date_styles(
+    entity: Entity | str, landed: DataFrame, per: Sequence[str] = ()
+) -> DataFrame | None:
+    """The format of each date column, by load: one pass that counts readable values."""
+    entity = ENTITIES[entity] if isinstance(entity, str) else entity
+    dated = [f.name for f in entity.staged if isinstance(f.dataType, (T.DateType, T.TimestampNTZType))]
+    if not dated:
+        return None
+    styles = F.struct(*(column_style(known(c)).alias(c) for c in dated)).alias(_STYLES)
+    return landed.groupBy(*per).agg(styles) if per else landed.agg(styles)
+
+
+_STYLES = "date_styles"
+
+
 def _typed(
-    entity: Entity, landed: DataFrame, order: Sequence[Column | str], per: Sequence[str]
+    entity: Entity, landed: DataFrame, order: Sequence[Column | str], per: Sequence[str],
+    dates: str = "each",
 ) -> DataFrame:
     """Rows as ``clean`` gives them, with those that miss something required."""
     # only the key decides which copy stays; the rest is read from survivors
     keyed = landed.withColumns({n: known(n) for n in entity.key})
     single = one_per_key(keyed, [*entity.key, *per], order, entity.keep)
-
-    parsed = single.select(
-        *(parse(known(f.name), f.dataType).alias(f.name) for f in entity.staged), *per
-    )
+    styles = date_styles(entity, landed, per) if dates == "column" else None
+    if styles is not None and per:
+        same = [single[c].eqNullSafe(styles[c]) for c in per]
+        single = single.join(styles, reduce(lambda a, b: a & b, same)).select(
+            *(single[c] for c in single.columns), styles[_STYLES])
+    elif styles is not None:
+        single = single.withColumn(_STYLES, styles.scalar())
+    style = None if styles is None else F.col(_STYLES)
+
+    def read(f: T.StructField) -> Column:
+        dated = isinstance(f.dataType, (T.DateType, T.TimestampNTZType))
+        return parse(known(f.name), f.dataType, style[f.name] if dated and style is not None else None)
+
+    parsed = single.select(*(read(f).alias(f.name) for f in entity.staged), *per)
     if entity.name == "sales":
         # judged on the rounded price and revenue but on the uncut quantity,
         # so half a unit passes here and is cut to zero below
@@ -105,9 +145,18 @@ def _typed(
             for f in entity.staged
         ),
         *per,
+        overflowed(entity).alias(OVERFLOWED),
     )
 
 
+def overflowed(entity: Entity) -> Column:
+    """Names of the columns whose wide number has no room in their type."""
+    numeric = [f for f in entity.staged if isinstance(f.dataType, (T.DecimalType, T.IntegralType))]
+    return F.array_compact(F.array(*(
+        F.when(~fits(F.col(f.name), f.dataType), F.lit(f.name)) for f in numeric
+    )))
+
+
 def _filled(entity: Entity, name: str) -> Column:
     value = F.col(name)
     return F.coalesce(value, F.lit(entity.fill[name])) if name in entity.fill else value

@@ -1,13 +1,20 @@
-"""Declared constraints checked on data: required columns and unique keys."""
+"""Declared constraints checked on data: required columns, number widths and unique keys.
+
+Rows cleaned with ``overflow=True`` name the columns whose number was too
+large; these break the rule ``precision`` and aren't counted as missing.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import ENTITIES, Entity
+from .cleaning import OVERFLOWED
 
 
 class QualityError(ValueError):
@@ -18,40 +25,86 @@ def _entity(entity: Entity | str) -> Entity:
     return ENTITIES[entity] if isinstance(entity, str) else entity
 
 
+def _counts(entity: Entity, overflow: bool) -> dict[tuple[str, str], Column]:
+    """Aggregates by rule and column; none of them needs a shuffle of rows."""
+    def too_large(c: str) -> Column:
+        return F.array_contains(OVERFLOWED, c) if overflow else F.lit(False)
+
+    counts = {
+        ("not_null", c): F.count_if(F.col(c).isNull() & ~too_large(c)) for c in entity.not_null
+    }
+    if overflow:
+        counts |= {
+            ("precision", f.name): F.count_if(too_large(f.name)) for f in entity.staged
+            if isinstance(f.dataType, (T.DecimalType, T.IntegralType))
+        }
+    return counts
+
+
+def _repeats(entity: Entity, rows: DataFrame) -> DataFrame:
+    """Rows that share a key, counted with map-side combining."""
+    return (
+        rows.groupBy(*entity.key).count().filter("count > 1")
+        .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("bad_rows"))
+        .select(F.lit("unique").alias("rule"), F.lit(", ".join(entity.key)).alias("columns"),
+                "bad_rows")
+    )
+
+
 def violations(entity: Entity | str, rows: DataFrame) -> DataFrame:
     """One row per broken rule: ``(table_name, rule, columns, bad_rows)``.
 
-    Null counts of all columns come from one pass; key repeats are counted
+    Counts of all columns come from one pass; key repeats are counted
     with map-side combining, so a heavily repeated key costs no more.
     """
     entity = _entity(entity)
-    counts = rows.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in entity.not_null))
-    pairs = ", ".join(f"'{c}', `{c}`" for c in entity.not_null)
-    nulls = counts.selectExpr(
-        f"stack({len(entity.not_null)}, {pairs}) AS (columns, bad_rows)"
-    ).withColumn("rule", F.lit("not_null"))
-    repeats = (
-        rows.groupBy(*entity.key).count().filter("count > 1")
-        .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("bad_rows"))
-        .withColumns({"columns": F.lit(", ".join(entity.key)), "rule": F.lit("unique")})
-    )
+    found = _counts(entity, OVERFLOWED in rows.columns)
+    counts = rows.agg(F.array(*(
+        F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("columns"), n.alias("bad_rows"))
+        for (rule, c), n in found.items()
+    )).alias("counts")).select(F.inline("counts"))
     return (
-        nulls.unionByName(repeats)
+        counts.unionByName(_repeats(entity, rows))
         .filter("bad_rows > 0")
         .select(F.lit(entity.name).alias("table_name"), "rule", "columns", "bad_rows")
     )
 
 
-def enforce(entity: Entity | str, rows: DataFrame) -> None:
-    """Raise if any constraint is broken (at most one row per rule is read)."""
-    broken = violations(entity, rows).collect()
+def watched(entity: Entity | str, rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and counts of broken rules that Spark gathers while they are written."""
+    entity = _entity(entity)
+    seen = Observation()
+    counts = _counts(entity, OVERFLOWED in rows.columns)
+    return rows.observe(seen, *(n.alias(f"{rule} {c}") for (rule, c), n in counts.items())), seen
+
+
+def enforce(
+    entity: Entity | str, rows: DataFrame, seen: Observation | Mapping[str, int] | None = None
+) -> None:
+    """Raise if any constraint is broken (at most one row per rule is read).
+
+    With what was ``seen`` while the rows were written only their keys are read.
+    """
+    entity = _entity(entity)
+    if seen is None:
+        broken = [(r.rule, r["columns"], r.bad_rows) for r in violations(entity, rows).collect()]
+    else:
+        counts = seen.get if isinstance(seen, Observation) else seen
+        broken = [(*name.split(" ", 1), n) for name, n in counts.items() if n]
+        repeats = _repeats(entity, rows).first()
+        if repeats.bad_rows:
+            broken.append((repeats.rule, repeats["columns"], repeats.bad_rows))
     if broken:
-        text = "; ".join(f"{r.rule}({r['columns']}): {r.bad_rows} rows" for r in broken)
-        raise QualityError(f"{_entity(entity).name}: {text}")
+        text = "; ".join(f"{rule}({columns}): {n} rows" for rule, columns, n in broken)
+        raise QualityError(f"{entity.name}: {text}")
 
 
 def split_rejects(entity: Entity | str, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows fit to load, and the rest with the names of their null columns."""
+    """Rows fit to load, and the rest with the names of their null columns.
+
+    A null where a number was too large is among them; ``overflowed_columns``
+    tells these apart if the rows carry it.
+    """
     entity = _entity(entity)
     complete = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in entity.not_null))
     missing = F.concat_ws(

@@ -6,11 +6,11 @@ versions in one publication at the end.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning, integrity, quality
 from ..schemas import CSV_ENTITIES, CURRENCIES
@@ -39,46 +39,86 @@ class RateFiles:
     end: date | None = None
 
 
-def load_raw(spark: SparkSession, landing: str, warehouse: Warehouse) -> None:
-    for name in CSV_ENTITIES:
-        append_raw(read_landing(spark, landing, name), warehouse.raw_path(name))
+def _load(
+    warehouse: Warehouse, name: str, paths: Sequence[str], only_new: bool,
+    read: Callable[[list[str]], DataFrame],
+) -> str | None:
+    """Append landed files to a raw table; the load's id, or None where no file is new."""
+    files = warehouse.ledger.files(name, *paths, only_new=only_new)
+    if not files:
+        return None
+    load_id = warehouse.ledger.new_load()
+    append_raw(read([file.path for file in files]), warehouse.raw_path(name), load_id)
+    warehouse.ledger.commit(name, files, load_id)
+    return load_id
+
+
+def load_raw(
+    spark: SparkSession, landing: str, warehouse: Warehouse, only_new: bool = False
+) -> dict[str, str | None]:
+    """Append landed tables to raw; the id of each load.
+
+    The established flow appends every file on every run; with ``only_new``
+    files that an earlier load has brought are left out.
+    """
+    return {
+        name: _load(
+            warehouse, name, [f"{landing}/{name}.csv"], only_new,
+            lambda files, name=name: read_landing(spark, landing, name, files=files))
+        for name in CSV_ENTITIES
+    }
 
 
-def load_raw_rates(spark: SparkSession, files: RateFiles, warehouse: Warehouse) -> None:
+def load_raw_rates(
+    spark: SparkSession, files: RateFiles, warehouse: Warehouse, only_new: bool = False
+) -> str | None:
     codes = currency_codes(files.codes) if isinstance(files.codes, str) else files.codes
     currencies = read_currency_dim(spark, files.daily, codes, files.encoding)
-    rates = read_rates_history_xml(
-        spark, files.history, currencies, files.start, files.end, files.encoding
-    )
-    append_raw(require_rates(rates), warehouse.raw_path("currency_rates"))
+
+    def read(paths: list[str]) -> DataFrame:
+        return require_rates(read_rates_history_xml(
+            spark, paths, currencies, files.start, files.end, files.encoding))
+
+    return _load(warehouse, "currency_rates", [files.history], only_new, read)
+
+
+def _stage(warehouse: Warehouse, name: str, rows: DataFrame) -> None:
+    """Write a staging table; its rules are counted on the way, only keys are read again."""
+    rows, seen = quality.watched(name, rows)
+    warehouse.stage(name, rows.drop(cleaning.OVERFLOWED))
+    quality.enforce(name, warehouse.staged(name), seen)
 
 
 def stage_csv(
-    spark: SparkSession, landing: str, warehouse: Warehouse, keep_rejects: bool = False
+    spark: SparkSession, landing: str, warehouse: Warehouse, keep_rejects: bool = False,
+    dates: str = "each",
 ) -> None:
     """Clean the landed files themselves, not the ever-growing raw tables.
 
     Dimensions are staged first and facts are checked against the staged copy,
-    so each dimension is cleaned once. Broken constraints stop the run; with
-    ``keep_rejects`` rows that lack a required value are set aside instead,
-    with the names of what they lack, and the rest is loaded.
+    so each dimension is cleaned once. Broken constraints stop the run, among
+    them numbers too large for their column; with ``keep_rejects`` such rows and
+    those that lack a required value are set aside instead, with the names of
+    what they lack, and the rest is loaded. ``dates="column"`` reads each date
+    column in the one format that fits most of it.
     """
     for name in CSV_ENTITIES:
-        rows = cleaning.clean(name, read_landing(spark, landing, name))
+        landed = read_landing(spark, landing, name)
+        rows = cleaning.clean(name, landed, dates=dates, overflow=True)
         rows = integrity.related(name, rows, warehouse.staged)
         if keep_rejects:
             rows, rejects = quality.split_rejects(name, rows)
             warehouse.set_aside(name, rejects)
-        warehouse.stage(name, rows)
-        quality.enforce(name, warehouse.staged(name))
+        _stage(warehouse, name, rows)
 
 
-def stage_rates(warehouse: Warehouse) -> None:
-    """Rates are cleaned from all of raw; the latest load of a day wins."""
-    raw = warehouse.raw("currency_rates").select(*RAW_COLUMNS, "load_dttm")
+def stage_rates(warehouse: Warehouse, since: str | None = None) -> None:
+    """Rates are cleaned from raw, of all loads or of those from ``since`` on; the latest load
+    of a day wins. Earlier loads are in the core table already, which the merge lets the new ones replace."""
+    raw = warehouse.raw("currency_rates", since).select(*RAW_COLUMNS, "load_dttm")
     settled = ["load_dttm", "source_url", "nominal", "rate_to_rub", "currency_name"]
-    warehouse.stage("currency_rates", cleaning.clean("currency_rates", raw, settled))
-    quality.enforce("currency_rates", warehouse.staged("currency_rates"))
+    _stage(warehouse, "currency_rates",
+           cleaning.clean("currency_rates", raw, settled, overflow=True))
 
 
 def merge_core(warehouse: Warehouse, names=MERGE_ORDER) -> None:
@@ -90,17 +130,26 @@ def merge_core(warehouse: Warehouse, names=MERGE_ORDER) -> None:
 
 def run(
     spark: SparkSession, landing: str, root: str, rates: RateFiles | None = None,
-    keep_rejects: bool = False,
+    keep_rejects: bool = False, dates: str = "each", only_new: bool = False,
 ) -> Warehouse:
-    """One complete load; safe to repeat."""
+    """One complete load; safe to repeat.
+
+    With ``only_new`` a run appends and reads new files' loads only: rates of
+    earlier loads aren't read again, and nothing is staged or merged where no
+    file is new. If one CSV file is, all are staged, since a new store may let
+    sales of an older file in.
+    """
     warehouse = Warehouse(spark, root)
-    load_raw(spark, landing, warehouse)
-    stage_csv(spark, landing, warehouse, keep_rejects)
-    names = [n for n in MERGE_ORDER if n in CSV_ENTITIES]
+    loads = load_raw(spark, landing, warehouse, only_new)
+    names = []
+    if any(loads.values()):
+        stage_csv(spark, landing, warehouse, keep_rejects, dates)
+        names = [n for n in MERGE_ORDER if n in CSV_ENTITIES]
     if rates is not None:
-        load_raw_rates(spark, rates, warehouse)
-        stage_rates(warehouse)
-        names.append("currency_rates")
+        load_id = load_raw_rates(spark, rates, warehouse, only_new)
+        if load_id is not None:
+            stage_rates(warehouse, load_id if only_new else None)
+            names.append("currency_rates")
     merge_core(warehouse, names)
     return warehouse
 

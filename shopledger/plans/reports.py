@@ -10,8 +10,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +17,6 @@ from pyspark.sql import types as T
 from ..functions.labels import plan_status as status_of
 from ..functions.numbers import or_zero, total
 from ..operators.selectors import check_date, check_month, over_months
-from ..operators.sharing import zero_of_all
 from ..operators.topk import as_lists, top_k
 from .inventory import inventory_alerts, inventory_summary
 from .plan_fact import (
@@ -135,15 +132,15 @@ def _with_knowledge(report: DataFrame) -> DataFrame:
 
 
 _SOLD = {"revenue": "fact_revenue", "profit": "fact_profit", "quantity": "fact_qty"}
-_MONTH, _STORE, _CATEGORY = "month", "store", "category"
+# grouping ids over (month, store, category): a set bit is a column summed away
+_MONTH, _STORE, _CATEGORY = 0b011, 0b001, 0b010
 
 
 def _rollup(tables: Tables, month: str | None) -> DataFrame:
     """Sales and plan totals by month, by store and by category.
 
     Plans are weighted in the finest cells, which are then summed to all three
-    levels at once. ``level`` is an aggregate, so that no part's filter on it
-    sinks below the shuffle, which all parts of a report share.
+    levels at once.
     """
     months = None if month is None else [check_month(month)]
     has_plan = F.col("plan_rows") > 0
@@ -153,74 +150,72 @@ def _rollup(tables: Tables, month: str | None) -> DataFrame:
         *(F.when(has_plan, e).alias(c) for c, e in weighted_measures().items()),
         has_plan.cast("bigint").alias("plan_cells"),
     )
-    nothing = F.lit(None).cast("string")
-
-    def place(level: str, store: Column | str, category: Column | str) -> Column:
-        return F.struct(
-            F.lit(level).alias("of"), F.coalesce(store, nothing).alias("store_id"),
-            F.coalesce(category, nothing).alias("category"),
-        )
-
-    places = F.array(
-        place(_MONTH, nothing, nothing), place(_STORE, "store_id", nothing),
-        place(_CATEGORY, nothing, "category"),
-    )
-    measures = [c for c in measured.columns if c not in ("store_id", "category")]
-    placed = measured.select(*measures, F.explode(places).alias("place"))
-    summed = placed.select(*measures, "place.*").groupBy("month", "of", "store_id", "category").agg(
+    levels = [["month"], ["month", "store_id"], ["month", "category"]]
+    summed = measured.groupingSets(levels, "month", "store_id", "category").agg(
         total("revenue").alias("revenue"),
         total("profit").alias("profit"),
         F.sum("quantity").alias("quantity"),
         F.sum("sales_rows").alias("sales_count"),
         F.sum("plan_cells").alias("plan_cells"),
         *plan_fact_sums(),
-        F.max("of").alias("level"),
+        F.grouping_id().alias("level"),
     )
-    return completed(summed.drop("of"))
+    return completed(summed)
 
 
 _SALES, _PLANS = "sales_count", "plan_cells"
+_SORTED = "decimal(26,2)"
 
 
 @dataclass(frozen=True)
 class _Part:
-    """One entry of a report: a struct, or with an order the list of the first rows."""
+    """One entry of a report: a struct, or with a sort the list of the first rows.
+
+    Rows come in the order of ``sort``, nulls last, then of ``name``.
+    """
 
-    level: str
+    level: int
     having: str
     fields: tuple[str, ...]
-    order: tuple = ()
+    sort: Column | None = None
+    name: str | None = None
 
 
 def _folded(rollup: DataFrame, parts: Mapping[str, _Part], k: int) -> DataFrame:
-    """One row per month with all parts, from one union of their few rows.
+    """One row per month with all parts.
 
-    Every branch asks for all columns of the rollup, so its shuffle is done
-    once; lists are cut to ``k`` rows per month before the next shuffle.
+    A total takes part in every list of its level; one ranking by month and list
+    serves them all, and is cut to ``k`` rows in every map task before its shuffle.
     """
-    zero = zero_of_all(rollup)
-    every = rollup.select("*", zero.alias("zero"))
-
-    def branch(name: str, part: _Part) -> DataFrame:
-        rows = every.filter((F.col("level") == part.level) & (F.col(part.having) > 0))
-        ranked = top_k(rows, ["month"], list(part.order), k) if part.order \
-            else rows.withColumn("position", F.lit(1))
-        return ranked.withColumn("part", F.lit(name))
-
-    months = every.filter(F.col("level") == _MONTH).withColumns(
-        {"position": F.lit(1), "part": F.lit("")}
-    )
-    stacked = reduce(DataFrame.unionByName, [branch(n, p) for n, p in parts.items()], months)
-
-    def folded(name: str, part: _Part) -> Column:
-        position = (F.col("position") + F.col("zero")).alias("position")
-        entry = F.when(F.col("part") == name, F.struct(position, *part.fields))
-        listed = F.transform(
-            F.sort_array(F.collect_list(entry)), lambda e: F.struct(*(e[f].alias(f) for f in part.fields))
+    def entry(number: int, part: _Part) -> Column:
+        eligible = (F.col("level") == part.level) & (F.col(part.having) > 0)
+        sort = F.lit(None) if part.sort is None else part.sort
+        name = F.lit(None) if part.name is None else F.col(part.name)
+        return F.when(eligible, F.struct(
+            F.lit(number).alias("part"), sort.cast(_SORTED).alias("sort"),
+            name.cast("string").alias("name"),
+        ))
+
+    # a month is shown as soon as anything is known of it
+    known = F.when(F.col("level") == _MONTH, F.struct(
+        F.lit(-1).alias("part"), F.lit(None).cast(_SORTED).alias("sort"),
+        F.lit(None).cast("string").alias("name")))
+    entries = F.array_compact(F.array(known, *(entry(i, p) for i, p in enumerate(parts.values()))))
+    fields = list(dict.fromkeys(f for p in parts.values() for f in p.fields))
+    placed = rollup.select("month", *fields, F.inline(entries))
+    listed = top_k(placed, ["month", "part"], [F.asc_nulls_last("sort"), F.asc("name")], k)
+
+    def folded(number: int, name: str, part: _Part) -> Column:
+        row = F.when(F.col("part") == number, F.struct("position", *part.fields))
+        ordered = F.transform(
+            F.sort_array(F.collect_list(row)),
+            lambda e: F.struct(*(e[f].alias(f) for f in part.fields)),
         )
-        return (listed if part.order else F.get(listed, F.lit(0))).alias(name)
+        return (F.get(ordered, F.lit(0)) if part.sort is None else ordered).alias(name)
 
-    return stacked.groupBy("month").agg(*(folded(n, p) for n, p in parts.items()))
+    return listed.groupBy("month").agg(
+        *(folded(i, name, part) for i, (name, part) in enumerate(parts.items()))
+    )
 
 
 def _monthly(folded: DataFrame, month: str | None) -> DataFrame:
@@ -231,14 +226,13 @@ def _monthly(folded: DataFrame, month: str | None) -> DataFrame:
     return _with_knowledge(folded)
 
 
-def _ranked(level: str, fields: tuple[str, ...], best: bool) -> _Part:
-    revenue = F.desc("revenue") if best else F.asc("revenue")
-    return _Part(level, _SALES, fields, (revenue, F.asc(fields[0])))
+def _ranked(level: int, fields: tuple[str, ...], best: bool) -> _Part:
+    revenue = -F.col("revenue") if best else F.col("revenue")
+    return _Part(level, _SALES, fields, revenue, fields[0])
 
 
-def _behind(level: str, key: str) -> _Part:
-    order = (F.asc_nulls_last("plan_revenue_pct"), F.asc(key))
-    return _Part(level, _PLANS, (key, *PLAN_FIELDS), order)
+def _behind(level: int, key: str) -> _Part:
+    return _Part(level, _PLANS, (key, *PLAN_FIELDS), F.col("plan_revenue_pct"), key)
 
 
 _PLAN_FACT = (*PLAN, *FACT, "plan_revenue_pct", "plan_profit_pct")

@@ -15,6 +15,42 @@ def cleaned(name: str, tables: StarSchemaTables) -> DataFrame:
     return cleaning.clean(name, LANDED[name](tables), [cleaning.LANDING_ORDER])
 
 
+def clean_sales_of_mixed_dates(tables: StarSchemaTables) -> DataFrame:
+    """Sales whose days are mostly written day first with slashes, a tenth of them otherwise.
+
+    What doesn't fit the format of its column is unreadable, so these rows go.
+    """
+    slashed = F.date_format(F.to_date("sale_date"), "dd/MM/yyyy")
+    dotted = F.date_format(F.to_date("sale_date"), "MM.dd.yyyy")
+    landed = LANDED["sales"](tables).withColumns({
+        "sale_datetime": F.concat(dotted, F.lit(" 12:30")),
+        "sale_date": F.when(F.col("invoice_no").endswith("7"), F.col("sale_date"))
+        .otherwise(slashed),
+    })
+    return cleaning.clean("sales", landed, [cleaning.LANDING_ORDER], dates="column")
+
+
+def date_formats(tables: StarSchemaTables) -> DataFrame:
+    """The format found for columns of landed sales and rates written in several ways."""
+    sales = LANDED["sales"](tables).withColumns({
+        "sale_datetime": F.concat(
+            F.date_format(F.to_date("sale_date"), "d.M.yyyy"), F.lit(" 12:30")),
+        "sale_date": F.date_format(F.to_date("sale_date"), "MM-dd-yyyy"),
+    })
+    rates = LANDED["currency_rates"](tables).withColumn(
+        "rate_date", F.date_format(F.to_date("rate_date"), "yyyyMMdd"))
+    rows = [
+        cleaning.date_styles(name, landed).select(
+            F.lit(name).alias("table_name"), F.posexplode(F.array(*(
+                F.struct(F.lit(c).alias("column_name"), F.col("date_styles")[c].alias("style"))
+                for c in columns))))
+        for name, landed, columns in (
+            ("sales", sales, ("sale_datetime", "sale_date")),
+            ("currency_rates", rates, ("rate_date",)))
+    ]
+    return rows[0].unionByName(rows[1]).select("table_name", "col.column_name", "col.style")
+
+
 def _known_stores(tables: StarSchemaTables) -> DataFrame:
     return tables["stores"].filter("employees_count > 0")
 
@@ -47,6 +83,22 @@ def quality_check(tables: StarSchemaTables) -> DataFrame:
     return quality.violations("sales", gaps)
 
 
+def quality_check_of_numbers(tables: StarSchemaTables) -> DataFrame:
+    """Broken constraints of cleaned sales, some of whose numbers are too large for their columns."""
+    huge = F.lit("0" * 9)
+    landed = LANDED["sales"](tables).withColumns({
+        "revenue": F.when(F.col("sales_channel") == "A",
+                          F.concat(F.split_part("revenue", F.lit("."), F.lit(1)), huge))
+        .otherwise(F.col("revenue")),
+        "discount_rate": F.when(F.col("quantity").endswith("7"), F.lit("1000.00"))
+        .otherwise(F.col("discount_rate")),
+        "invoice_type": F.when(F.col("quantity").endswith("1"), F.lit("NA"))
+        .otherwise(F.col("invoice_type")),
+    })
+    cleaned_rows = cleaning.clean("sales", landed, [cleaning.LANDING_ORDER], overflow=True)
+    return quality.violations("sales", cleaned_rows)
+
+
 # ---- merges: an older load, then a newer one that overlaps it ----
 
 def upsert_sales(tables: StarSchemaTables) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +27,10 @@ def position(path: str = "_metadata.file_path", block: str = "_metadata.file_blo
 
 
 def read_landing(
-    spark: SparkSession, directory: str, name: str, multiline: bool = False
+    spark: SparkSession, directory: str, name: str, multiline: bool = False,
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows of ``<directory>/<name>.csv`` (a file or a folder of files).
+    """Rows of ``<directory>/<name>.csv`` (a file or a folder of files), or of some ``files`` of it.
 
     Columns are matched by header name. A missing file or column fails here.
     ``multiline`` accepts line breaks inside quotes, at the price of one task
@@ -35,7 +38,7 @@ def read_landing(
     """
     rows = (
         spark.read.options(**CSV_OPTIONS).option("multiLine", multiline)
-        .csv(f"{directory}/{name}.csv")
+        .csv(f"{directory}/{name}.csv" if files is None else list(files))
     )
     return rows.select(
         *(known(c).alias(c) for c in ENTITIES[name].staged.names),
@@ -44,8 +47,10 @@ def read_landing(
     )
 
 
-def append_raw(rows: DataFrame, path: str) -> None:
-    """Add landed rows, as text, to a raw table together with the load time."""
+def append_raw(rows: DataFrame, path: str, load_id: str) -> None:
+    """Add landed rows, as text, to a raw table together with the load and its time."""
     kept = rows.drop(LANDING_ORDER)
     text = kept.select(*(F.col(c).cast("string").alias(c) for c in kept.columns))
-    text.withColumn("load_dttm", F.current_timestamp()).write.mode("append").parquet(path)
+    text.withColumns({
+        "load_dttm": F.current_timestamp(), "load_day": F.lit(load_id[:10]), "load_id": F.lit(load_id),
+    }).write.mode("append").partitionBy("load_day", "load_id").parquet(path)

@@ -27,7 +27,7 @@ def currency_codes(text: str) -> tuple[str, ...]:
     return tuple(c.strip().upper() for c in text.split(",") if c.strip())
 
 
-def _xml(spark: SparkSession, path: str, row: str, schema: str, encoding: str) -> DataFrame:
+def _xml(spark: SparkSession, path: str | list[str], row: str, schema: str, encoding: str) -> DataFrame:
     return (
         spark.read.format("xml").option("rowTag", row).option("encoding", encoding)
         .schema(schema).load(path)
@@ -88,7 +88,7 @@ def read_currency_dim(
 
 
 def read_rates_history_xml(
-    spark: SparkSession, path: str, currencies: DataFrame,
+    spark: SparkSession, path: str | list[str], currencies: DataFrame,
     start: date | None = None, end: date | None = None, encoding: str = "windows-1251",
 ) -> DataFrame:
     """Dated records of the known currencies.

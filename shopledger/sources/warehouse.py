@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..operators.merge import merge_by_key, stamped
 from ..schemas import ENTITIES, Entity
+from .ledger import Ledger
 
 _LOG = "table_name string, part string, version bigint, live boolean, base bigint"
 _WHOLE = "all"
@@ -51,8 +52,17 @@ class Warehouse:
     def rejects_path(self, name: str) -> str:
         return f"{self.root}/stg/{self.run}/{name}_rejects"
 
-    def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.raw_path(name))
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger(self.spark, self.root)
+
+    def raw(self, name: str, since: str | None = None) -> DataFrame:
+        """Rows of finished loads; ``since`` (a day or a load) prunes the folders of earlier ones."""
+        rows = self.spark.read.parquet(self.raw_path(name))
+        rows = rows.withColumns({c: F.col(c).cast("string") for c in ("load_day", "load_id")})
+        if since is not None:
+            rows = rows.filter((F.col("load_day") >= since[:10]) & (F.col("load_id") >= since))
+        return rows.join(self.ledger.loads(name, since), "load_id", "left_semi")
 
     def stage(self, name: str, rows: DataFrame) -> None:
         """Replace a staging table."""

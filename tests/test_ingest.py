@@ -271,3 +271,65 @@ def test_a_plan_merge_reads_only_its_months(spark, landing, tmp_path):
     ingest.stage_csv(spark, landing, warehouse)
     warehouse.merge("plan_sales", warehouse.staged("plan_sales"))
     assert read == [["2024-12"]]
+
+
+def test_files_are_loaded_once(spark, landing, rate_files, tmp_path, rows):
+    root = str(tmp_path / "warehouse")
+    first = ingest.run(spark, landing, root, rate_files, only_new=True)
+
+    def state(w):
+        return {n: sorted(map(str, w.core(n).drop("updated_at").collect())) for n in ingest.MERGE_ORDER}
+
+    def counts(w):
+        return [w.raw(n).count() for n in ingest.MERGE_ORDER]
+
+    before, loaded = state(first), counts(first)
+    assert loaded == [3, 1, 4, 2, 2, 3]
+    again = ingest.run(spark, landing, root, rate_files, only_new=True)
+    assert counts(again) == loaded and state(again) == before
+    assert not os.path.exists(again.staging_path("sales"))
+
+    # a new history file: only its load is read for staging, and it replaces what it names
+    (tmp_path / "history" / "R01235b.xml").write_text(
+        '<ValCurs ID="R01235"><Record Date="02.12.2024" Id="R01235"><Nominal>1</Nominal>'
+        "<Value>110,5</Value></Record></ValCurs>", encoding="cp1251")
+    third = ingest.run(spark, landing, root, rate_files, only_new=True)
+    assert third.raw("currency_rates").count() == 4 and third.staged("currency_rates").count() == 1
+    rates_now = {(r["currency_code"], str(r["rate_date"])): r["rate_to_rub"] for r in rows(third.core("currency_rates"))}
+    assert rates_now[("USD", "2024-12-02")] == 110.5 and rates_now[("USD", "2024-12-01")] == 107.7409
+    assert {n: s for n, s in state(third).items() if n != "currency_rates"} == {
+        n: s for n, s in before.items() if n != "currency_rates"}
+
+
+def test_a_load_that_died_is_invisible(spark, landing, tmp_path):
+    from shopledger.sources.landing import append_raw
+
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    append_raw(read_landing(spark, landing, "sales"), warehouse.raw_path("sales"), "2024-01-01T00-00-00-dead")
+    assert warehouse.raw("sales").count() == 0
+    ingest.load_raw(spark, landing, warehouse, only_new=True)
+    assert warehouse.raw("sales").count() == 4
+    assert warehouse.raw("sales", since="2999-01-01").count() == 0
+    # the same file with other contents is new
+    write(landing, "sales.csv", SALES_HEADER, sale(1), sale(9))
+    loads = ingest.load_raw(spark, landing, warehouse, only_new=True)
+    assert [n for n, load in loads.items() if load] == ["sales"] and warehouse.raw("sales").count() == 6
+    assert warehouse.raw("sales", since=loads["sales"]).count() == 2
+
+
+def test_a_run_names_numbers_that_are_too_large(spark, landing, tmp_path, rows):
+    write(landing, "sales.csv", SALES_HEADER, sale(1), sale(2, revenue="1000000000000"))
+    with pytest.raises(QualityError, match=r"sales: precision\(revenue\): 1 rows$"):
+        ingest.run(spark, landing, str(tmp_path / "strict"))
+    warehouse = ingest.run(spark, landing, str(tmp_path / "lenient"), keep_rejects=True)
+    [reject] = rows(spark.read.parquet(warehouse.rejects_path("sales")))
+    assert reject["overflowed_columns"] == ["revenue"] and reject["sale_id"] == "2"
+
+
+def test_a_run_that_reads_dates_by_column(spark, landing, tmp_path, rows):
+    write(landing, "plan_sales.csv", "plan_month,store_id,category,plan_revenue,plan_profit,plan_qty",
+          "2024-12,S001,Tea,100,50,10")
+    write(landing, "sales.csv", SALES_HEADER, sale(1, "2024-12-01").replace(",2024-12-01,", ",12/01/2024,"),
+          sale(2, "2024-12-01").replace(",2024-12-01,", ",12/31/2024,"))
+    warehouse = ingest.run(spark, landing, str(tmp_path / "w"), dates="column")
+    assert [str(r["sale_date"]) for r in rows(warehouse.core("sales"), "sale_id")] == ["2024-12-01", "2024-12-31"]
