@@ -210,7 +210,8 @@ def classes(documents: DataFrame, *, id_column: str = "doc_id", text_column: str
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("n").alias("n"), F.min("keys").alias("keys"))
     )
     sketched = nodes.select("node", "n", F.posexplode("keys").alias("sketch", "key")).withColumn("bucket", F.xxhash64("sketch", "key"))
-    sizes = sketched.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    # written, so that the rows of a very large bucket can be split over tasks when they get its size
+    sizes = saved(sketched.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
     members = saved(sketched.join(sizes, "bucket").select("bucket", "size", "node", "n"))
     mates = members.groupBy("node").agg(F.sum("size").alias("mates"))
     central = saved(
@@ -237,8 +238,8 @@ def classes(documents: DataFrame, *, id_column: str = "doc_id", text_column: str
     )
     links = saved(with_texts.mapInArrow(_verify(shingle, similarity), "a binary, b binary"))
     grouped = saved(components(links))
-    more = saved(_rest_links(members, central, grouped, texts, shingle, similarity))
-    if not more.isEmpty():
+    more = _rest_links(members, central, grouped, texts, shingle, similarity)
+    if more is not None:
         grouped = saved(components(links.unionByName(more)))
     classed = nodes.join(grouped, "node", "left").select(
         "node", F.coalesce("component", "node").alias("class"), F.col("first.doc_id").alias("least_id")
@@ -259,8 +260,11 @@ def classes(documents: DataFrame, *, id_column: str = "doc_id", text_column: str
 
 
 def _rest_links(members: DataFrame, central: DataFrame, grouped: DataFrame, texts: DataFrame, shingle: int,
-                similarity: float) -> DataFrame:
-    """Links between members of one bucket that the comparison with its central node has left in different classes."""
+                similarity: float) -> DataFrame | None:
+    """Links between members of one bucket that the comparison with its central node has left in different classes.
+
+    None if there are none.
+    """
     own = grouped.select("node", F.col("component").alias("class"))
     of_center = own.select(F.col("node").alias("center"), F.col("class").alias("center_class"))
     centers = central.join(of_center, "center", "left").select(
@@ -275,6 +279,9 @@ def _rest_links(members: DataFrame, central: DataFrame, grouped: DataFrame, text
     unfinished = marked.groupBy("bucket", "size").agg(
         F.max("rest").alias("rest"), F.sum("n").alias("shingles"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.hash("node").cast("long")).alias("y")
     ).where("rest")
+    unfinished = saved(unfinished)
+    if unfinished.isEmpty():
+        return None
     blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.max("shingles") / BLOCK_SHINGLES))
     chosen = unfinished.groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket"), blocks.alias("blocks"))
     placed = marked.join(chosen.select("bucket", "blocks"), "bucket").withColumn(
@@ -288,7 +295,8 @@ def _rest_links(members: DataFrame, central: DataFrame, grouped: DataFrame, text
         .select("bucket", "i", "j", "node", "class", F.lit(False).alias("rest"))
     )
     together = rest.unionByName(every.select(*rest.columns)).groupBy("bucket", "i", "j", "node", "class").agg(F.max("rest").alias("rest"))
-    return (
+    found = saved(
         together.join(texts, "node").groupBy("bucket", "i", "j")
         .applyInArrow(_compare_block(shingle, similarity), "a binary, b binary").distinct()
     )
+    return None if found.isEmpty() else found

@@ -66,3 +66,14 @@ def test_odd_rows_pass_through_every_stage(spark, odd, folder):
         assert saved(stage(spark, docs.limit(0), folder)).count() == 0
     assert P.STAGES[-1][1](spark, docs, folder).count() == docs.count()
     assert P.STAGES[-1][1](spark, docs.limit(0), folder).count() == 0
+
+
+def test_columns_named_like_the_stages_own(spark, folder):
+    from pyspark.sql import functions as F
+
+    names = ["_quality", "_nth", "_document_key", "_id_", "_hash", "_source", "_copies", "_copy", "copies", "node"]
+    docs = P.table(spark, folder, "documents").where("doc_id < 30").withColumns({c: F.lit(f"own {c}") for c in names})
+    for _, stage in P.STAGES[:-1]:
+        out = saved(stage(spark, docs, folder))
+        assert out.columns == docs.columns
+        assert {tuple(r) for r in out.select(*names).collect()} == {tuple(f"own {c}" for c in names)}
