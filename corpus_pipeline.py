@@ -16,55 +16,72 @@ from shopledger.llm import mixing, order_minhash, subword_classifier, token_stor
 from shopledger.llm.inputs import GOOD, quality_model, table, tokenizer_file
 from shopledger.llm.scratch import saved, send_code
 
-KEY = "_document_key"
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(KEY, F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text_hash")))
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until no column of `docs` has them."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
-def _same(docs: DataFrame, other: DataFrame):
-    return docs["doc_id"].eqNullSafe(other["_id"]) & docs[KEY]["text_hash"].eqNullSafe(other["_hash"])
+def _keyed(docs: DataFrame, key: str) -> DataFrame:
+    return docs.withColumn(key, F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text_hash")))
+
+
+def _same(docs: DataFrame, key: str, other: DataFrame, *ids: str):
+    own, own_hash = ids
+    return docs["doc_id"].eqNullSafe(other[own]) & docs[key]["text_hash"].eqNullSafe(other[own_hash])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the subword classifier accepts."""
     send_code(spark)
     model = quality_model(spark, docs, sf_dir)
-    return subword_classifier.score(docs, model, score_column="_quality").where(F.col("_quality") >= GOOD).drop("_quality")
+    [score] = fresh(docs, "_quality")
+    return subword_classifier.score(docs, model, score_column=score).where(F.col(score) >= GOOD).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies, that with the smallest id."""
     send_code(spark)
-    kept = order_minhash.classes(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    keyed = _keyed(docs)
-    equal_rows = Window.partitionBy("doc_id", f"{KEY}.text_hash").orderBy(F.lit(0))
+    key, nth, own, own_hash = fresh(docs, "_document_key", "_nth", "_id", "_hash")
+    kept = order_minhash.classes(docs).where("kept").select(F.col("doc_id").alias(own), F.col("text_hash").alias(own_hash))
+    keyed = _keyed(docs, key)
+    equal_rows = Window.partitionBy("doc_id", f"{key}.text_hash").orderBy(F.lit(0))
     return (
-        keyed.join(kept.distinct(), _same(keyed, kept), "left_semi")
-        .withColumn("_nth", F.row_number().over(equal_rows)).where("_nth = 1").drop("_nth", KEY)
+        keyed.join(kept.distinct(), _same(keyed, key, kept, own, own_hash), "left_semi")
+        .withColumn(nth, F.row_number().over(equal_rows)).where(F.col(nth) == 1).drop(nth, key)
     )
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     send_code(spark)
-    keyed = _keyed(docs)
-    hit = winnowing.scan(keyed, table(spark, sf_dir, "benchmark"), id_column=KEY).where("n_hit > 0").select(
-        F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.text_hash").alias("_hash")
+    key, own, own_hash = fresh(docs, "_document_key", "_id", "_hash")
+    keyed = _keyed(docs, key)
+    hit = winnowing.scan(keyed, table(spark, sf_dir, "benchmark"), id_column=key).where("n_hit > 0").select(
+        F.col("doc_id.doc_id").alias(own), F.col("doc_id.text_hash").alias(own_hash)
     )
-    return keyed.join(hit, _same(keyed, hit), "left_anti").drop(KEY)
+    return keyed.join(hit, _same(keyed, key, hit, own, own_hash), "left_anti").drop(key)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it."""
-    keyed = _keyed(docs)
-    copies = mixing.mix(keyed, id_column=KEY).where("copies > 0").select(
-        F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.text_hash").alias("_hash"),
-        F.col("source").alias("_source"), F.col("copies").alias("_copies"),
+    key, own, own_hash, own_source, copies, copy = fresh(
+        docs, "_document_key", "_id", "_hash", "_source", "_copies", "_copy")
+    keyed = _keyed(docs, key)
+    taken = mixing.mix(keyed, id_column=key).where("copies > 0").select(
+        F.col("doc_id.doc_id").alias(own), F.col("doc_id.text_hash").alias(own_hash),
+        F.col("source").alias(own_source), F.col("copies").alias(copies),
     ).distinct()
-    taken = keyed.join(copies, _same(keyed, copies) & keyed["source"].eqNullSafe(copies["_source"]))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies").cast("long")))).select(
+    held = keyed.join(
+        taken, _same(keyed, key, taken, own, own_hash) & keyed["source"].eqNullSafe(taken[own_source]))
+    return held.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies).cast("long")))).select(
         *(keyed[c] for c in docs.columns)
     )
 
