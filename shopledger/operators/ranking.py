@@ -14,37 +14,37 @@ from .value_ranges import range_of
 def with_ranks(df: DataFrame, by: str, ranks: Mapping[str, Column]) -> DataFrame:
     """Add a rank column per entry of ``ranks`` (name to a number, least first), ties sharing one.
 
-    A rank is the place inside the value's range plus the rows of the ranges
-    before it, so a group of any size is ranked by many tasks. The rows of all
-    ranges are counted at once, over the same shuffle that ``df`` comes from.
+    The rows of ``df`` must differ from each other. Each is stacked once per
+    measure, so one shuffle orders all measures. A rank is the place inside the
+    value's range plus the rows of the ranges before it, so a group of any size
+    is ranked by many tasks. The rows of all ranges are counted at once, over
+    the same shuffle that ``df`` comes from.
     """
-    ranged = df.withColumns(
-        {f"_{name}_value": value for name, value in ranks.items()}
-        | {f"_{name}_range": range_of(value) for name, value in ranks.items()}
-    )
-    entries = F.array(*(
-        F.struct(F.lit(name).alias("measure"), F.col(f"_{name}_range").alias("range"))
-        for name in ranks
+    measures = F.array(*(
+        F.struct(F.lit(number).alias("_measure"), range_of(value).alias("_range"), value.alias("_value"))
+        for number, value in enumerate(ranks.values())
     ))
+    stacked = df.select("*", F.inline(measures))
+    inside = Window.partitionBy(by, "_measure", "_range").orderBy("_value")
+    placed = stacked.withColumn("_place", F.rank().over(inside))
+
+    ranges = F.transform(measures, lambda m: F.struct(
+        m["_measure"].alias("_of_measure"), m["_range"].alias("_of_range")))
     in_order = (
-        Window.partitionBy("_by", "measure").orderBy("range")
+        Window.partitionBy("_of", "_of_measure").orderBy("_of_range")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = (
-        ranged.select(F.col(by).alias("_by"), zero_of_all(df).alias("zero"), F.explode(entries).alias("e"))
-        .groupBy("_by", "e.measure", "e.range").agg(F.sum(F.col("zero") + 1).alias("rows"))
-        .withColumn("before", F.coalesce(F.sum("rows").over(in_order), F.lit(0)))
+        df.select(F.col(by).alias("_of"), zero_of_all(df).alias("_zero"), F.inline(ranges))
+        .groupBy("_of", "_of_measure", "_of_range").agg(F.sum(F.col("_zero") + 1).alias("_rows"))
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(in_order), F.lit(0)))
+    )
+    same_range = (
+        F.col(by).eqNullSafe(F.col("_of")) & (F.col("_measure") == F.col("_of_measure"))
+        & F.col("_range").eqNullSafe(F.col("_of_range"))
+    )
+    rank = (F.col("_place") + F.col("_before")).cast("int")
+    return placed.join(before, same_range).groupBy(*df.columns).agg(
+        *(F.max(F.when(F.col("_measure") == number, rank)).alias(name)
+          for number, name in enumerate(ranks))
     )
-    for name in ranks:
-        own = before.filter(F.col("measure") == name).select(
-            F.col("_by").alias("_of"), F.col("range").alias("_of_range"),
-            F.col("before").alias("_before"),
-        )
-        match = F.col(by).eqNullSafe(F.col("_of")) & F.col(f"_{name}_range").eqNullSafe(F.col("_of_range"))
-        inside = Window.partitionBy(by, f"_{name}_range").orderBy(f"_{name}_value")
-        ranged = (
-            ranged.join(own, match)
-            .withColumn(name, (F.rank().over(inside) + F.col("_before")).cast("int"))
-            .drop("_of", "_of_range", "_before")
-        )
-    return ranged.drop(*(f"_{n}_{part}" for n in ranks for part in ("value", "range")))

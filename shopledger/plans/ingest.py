@@ -13,12 +13,13 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cleaning, integrity, quality
-from ..schemas import CSV_ENTITIES, CURRENCIES
+from ..schemas import CSV_ENTITIES, CURRENCIES, ENTITIES
 from ..sources.landing import append_raw, read_landing
 from ..sources.rates import (
     RAW_COLUMNS, currency_codes, read_currency_dim, read_rates_history_xml, require_rates,
 )
 from ..sources.warehouse import Warehouse
+from . import published
 
 MERGE_ORDER = ("stores", "products", "sales", "inventory", "plan_sales", "currency_rates")
 
@@ -121,19 +122,35 @@ def stage_rates(warehouse: Warehouse, since: str | None = None) -> None:
            cleaning.clean("currency_rates", raw, settled, overflow=True))
 
 
-def merge_core(warehouse: Warehouse, names=MERGE_ORDER) -> None:
+def merge_core(warehouse: Warehouse, names=MERGE_ORDER) -> list[tuple]:
+    """Merge what is staged and publish it; returns what was published."""
     changes: list[tuple] = []
     for name in names:
         changes += warehouse.merge(name, warehouse.staged(name))
     warehouse.publish(changes)
+    return changes
+
+
+def dimensions_changed(warehouse: Warehouse) -> bool:
+    """Whether staged stores or products differ from those in core; ask before merging them."""
+    for name in ("stores", "products"):
+        columns = ENTITIES[name].core.names
+        new = warehouse.staged(name).select(*columns)
+        if not new.exceptAll(warehouse.core(name).select(*columns)).isEmpty():
+            return True
+    return False
 
 
 def run(
     spark: SparkSession, landing: str, root: str, rates: RateFiles | None = None,
     keep_rejects: bool = False, dates: str = "each", only_new: bool = False,
+    marts: str | None = None,
 ) -> Warehouse:
     """One complete load; safe to repeat.
 
+    With ``marts``, a folder, the stored marts and reports of the months that
+    this load has touched are computed anew, or all if a dimension has changed.
+
     With ``only_new`` a run appends and reads new files' loads only: rates of
     earlier loads aren't read again, and nothing is staged or merged where no
     file is new. If one CSV file is, all are staged, since a new store may let
@@ -150,7 +167,12 @@ def run(
         if load_id is not None:
             stage_rates(warehouse, load_id if only_new else None)
             names.append("currency_rates")
-    merge_core(warehouse, names)
+    everywhere = marts is not None and "stores" in names and dimensions_changed(warehouse)
+    changes = merge_core(warehouse, names)
+    if marts is not None and changes:
+        staged = warehouse.staged("currency_rates") if "currency_rates" in names else None
+        months = None if everywhere else published.touched_months(changes, staged)
+        published.refresh(warehouse.tables(), marts, months)
     return warehouse
 
 

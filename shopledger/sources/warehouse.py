@@ -18,11 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.key_filter import maybe_among
 from ..operators.merge import merge_by_key, stamped
 from ..schemas import ENTITIES, Entity
 from .ledger import Ledger
 
-_LOG = "table_name string, part string, version bigint, live boolean, base bigint"
+_LOG = (
+    "table_name string, part string, version bigint, live boolean, base bigint,"
+    " low string, high string"
+)
 _WHOLE = "all"
 
 
@@ -92,7 +96,7 @@ class Warehouse:
         base = self._current(table).get(_WHOLE)
         version = self._next_version()
         rows.write.parquet(f"{self._table(table)}/version={version}")
-        return [(table, _WHOLE, version, True, base)]
+        return [(table, _WHOLE, version, True, base, None, None)]
 
     # ---- core ----
 
@@ -113,8 +117,10 @@ class Warehouse:
         ``rows`` must hold each key once and read the same every time: pass
         a staged table. Only partitions named by the new rows, or holding an
         older version of one of them, are rewritten. Where a row's partition
-        follows from its key, older versions can't be anywhere else; otherwise
-        the key columns of all partitions are read to find them.
+        follows from its key, older versions can't be anywhere else. Otherwise
+        key columns are read to find them: those of partitions whose least and
+        greatest key leave room for one of the new keys, and of their rows only
+        those go into a join that bits of the new keys let through.
         """
         entity = ENTITIES[name]
         incoming = stamped(rows.select(*entity.core.names))
@@ -127,9 +133,7 @@ class Warehouse:
             keyed = self._with_partition(entity, incoming)
             parts = keyed.select(entity.partition)
             if not entity.partition_follows_key:
-                moved = self._read(entity, current).join(
-                    keyed.select(*entity.key), list(entity.key), "left_semi"
-                )
+                moved = self._older_versions(entity, current, keyed.select(*entity.key))
                 parts = parts.union(moved.select(entity.partition))
             touched = {row[0] for row in parts.distinct().collect()}
             affected = {part: v for part, v in current.items() if part in touched}
@@ -139,20 +143,55 @@ class Warehouse:
         path = f"{self._table(name)}/version={version}"
         if entity.partition is None:
             merged.write.parquet(path)
-            written = {_WHOLE}
+            written = {_WHOLE: (None, None)}
         else:
             # balanced by size, so one large month is written by many tasks
             merged.hint("rebalance", entity.partition).write.partitionBy(
                 entity.partition).parquet(path)
-            written = set()
+            written = {}
             if touched:
-                # values come from folder names; no data column is read
                 found = self.spark.read.schema(self._layout(entity)).parquet(path)
-                written = {r[0] for r in found.select(entity.partition).distinct().collect()}
+                written = self._key_ranges(entity, found)
         return [
-            (name, part, version, part in written, current.get(part)) for part in sorted(touched)
+            (name, part, version, part in written, current.get(part),
+             *written.get(part, (None, None)))
+            for part in sorted(touched)
         ]
 
+    def _key_ranges(self, entity: Entity, rows: DataFrame) -> dict[str, tuple]:
+        """Partitions with the least and greatest key, where these help to find older versions."""
+        by_part = rows.groupBy(entity.partition)
+        if entity.partition_follows_key:
+            # values come from folder names; no data column is read
+            return {r[0]: (None, None) for r in by_part.count().collect()}
+        key = entity.key[0]
+        found = by_part.agg(F.min(key).alias("low"), F.max(key).alias("high")).collect()
+        return {r[0]: (r.low, r.high) for r in found}
+
+    def _older_versions(
+        self, entity: Entity, current: dict[str, int], keys: DataFrame
+    ) -> DataFrame:
+        """Stored rows that have one of the keys."""
+        first = entity.key[0]
+        span = keys.agg(
+            F.min(first).alias("low"), F.max(first).alias("high"), F.count(F.lit(1)).alias("n")
+        ).first()
+        ranges = self._stored_ranges(entity.name)
+        reachable = {
+            part: version for part, version in current.items()
+            if span.n and not self._apart(ranges.get(part), (span.low, span.high))
+        }
+        stored = self._read(entity, reachable).select(*entity.key, entity.partition)
+        likely = maybe_among(stored, keys, entity.key, span.n)
+        return likely.join(keys, list(entity.key), "left_semi")
+
+    @staticmethod
+    def _apart(known: tuple | None, asked: tuple) -> bool:
+        """Whether two ranges of keys can't meet; unknown ranges may."""
+        if known is None or None in known or None in asked:
+            return False
+        return known[1] < asked[0] or asked[1] < known[0]
+
     def publish(self, changes: list[tuple]) -> None:
         """Switch readers to the given partitions, all at once.
 
@@ -197,6 +236,14 @@ class Warehouse:
         )
         return {row.part: row.version for row in newest.collect()}
 
+    def _stored_ranges(self, name: str) -> dict[str, tuple]:
+        log = self._published()
+        if log is None:
+            return {}
+        newest = log.filter(F.col("table_name") == name).groupBy("part").agg(
+            F.max_by(F.struct("low", "high"), "version").alias("range"))
+        return {row.part: (row.range.low, row.range.high) for row in newest.collect()}
+
     def _next_version(self) -> int:
         """Later than anything published; time keeps retries apart."""
         clock = self.spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]
