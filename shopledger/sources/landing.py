@@ -48,9 +48,13 @@ def read_landing(
 
 
 def append_raw(rows: DataFrame, path: str, load_id: str) -> None:
-    """Add landed rows, as text, to a raw table together with the load and its time."""
+    """Add landed rows, as text, to a raw table together with the load and its time.
+
+    The load's folder is replaced if it exists, so a load that is tried again adds nothing twice.
+    """
     kept = rows.drop(LANDING_ORDER)
     text = kept.select(*(F.col(c).cast("string").alias(c) for c in kept.columns))
     text.withColumns({
         "load_dttm": F.current_timestamp(), "load_day": F.lit(load_id[:10]), "load_id": F.lit(load_id),
-    }).write.mode("append").partitionBy("load_day", "load_id").parquet(path)
+    }).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "load_day", "load_id").parquet(path)

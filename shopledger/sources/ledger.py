@@ -55,6 +55,9 @@ class Ledger:
         rows = [(name, *(file[c] for c in _FILE), load_id) for file in files]
         self.spark.createDataFrame(rows, _ENTRIES).coalesce(1).write.mode("append").json(self.path)
 
+    def holds(self, name: str, load_id: str) -> bool:
+        return not self.loads(name).filter(F.col("load_id") == load_id).isEmpty()
+
     def loads(self, name: str, since: str | None = None) -> DataFrame:
         """Ids of the loads of a table, those from a day on if ``since`` is given."""
         found = self.entries().filter(F.col("table_name") == name).select("load_id").distinct()

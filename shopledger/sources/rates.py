@@ -97,6 +97,25 @@ def read_rates_history_xml(
     the currency id. A stated rate per unit wins over value by nominal.
     """
     records = _xml(spark, path, "Record", _RECORD, encoding)
+    return history_rates(records, currencies, start, end)
+
+
+def rates_history_stream(
+    spark: SparkSession, folder: str, encoding: str = "windows-1251"
+) -> DataFrame:
+    """Records of history files as they land, for ``history_rates``."""
+    records = (
+        spark.readStream.format("xml").option("rowTag", "Record").option("encoding", encoding)
+        .schema(_RECORD).load(folder)
+    )
+    return records.withColumn("source_url", F.col("_metadata.file_path"))
+
+
+def history_rates(
+    records: DataFrame, currencies: DataFrame, start: date | None = None, end: date | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Rates of the known currencies from the records of history files, with further columns to keep."""
     from_file = F.regexp_extract("source_url", r"([^/]+)\.xml$", 1)
     rate = F.coalesce(comma_number(F.nullif("VunitRate", F.lit(""))), _per_unit("Value", "Nominal"))
     dated = records.withColumns({
@@ -109,7 +128,7 @@ def read_rates_history_xml(
     return dated.join(currencies, "currency_id").select(
         F.col("day").cast("string").alias("rate_date"), "currency_code", "currency_name",
         _nominal("Nominal").alias("nominal"),
-        _four_decimals(F.col("rate")).cast("string").alias("rate_to_rub"), "source_url",
+        _four_decimals(F.col("rate")).cast("string").alias("rate_to_rub"), "source_url", *keep,
     )
 
 

@@ -79,6 +79,12 @@ class Warehouse:
     def set_aside(self, name: str, rejects: DataFrame) -> None:
         rejects.write.mode("overwrite").parquet(self.rejects_path(name))
 
+    def set_aside_load(self, name: str, rejects: DataFrame, load_id: str) -> None:
+        """Rejects of one load of an incremental run, in a folder that a repeated load replaces."""
+        rejects.withColumn("load_id", F.lit(load_id)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(
+            f"{self.root}/rejects/{name}")
+
     # ---- facts that came before their store or product ----
 
     def pending(self, name: str) -> DataFrame:
