@@ -22,24 +22,10 @@ IS_WORD = (
     | ((LOWER >= 97) & (LOWER <= 122))
 )
 
-_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _GRAM_BASE = np.uint64(0xD6E8FEB86659FD93)
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers 0 to n of the base and of its inverse, modulo 2**64."""
-    global _powers, _inverses
-    if len(_powers) <= n:
-        size = max(n + 1, SLICE_BYTES + 1)
-        steps = np.ones(size, np.uint64)
-        steps[1:] = np.uint64(_BASE)
-        _powers = np.multiply.accumulate(steps)
-        steps[1:] = np.uint64(_INVERSE)
-        _inverses = np.multiply.accumulate(steps)
-    return _powers, _inverses
+_VALUE = np.uint64(0x9E3779B97F4A7C15)
+_PLACE = np.uint64(0xC2B2AE3D27D4EB4F)
+_BLOCK = 1 << 18
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -50,16 +36,25 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of `values[start:end]` for each span, the same wherever the span lies. Spans are in order."""
-    if len(values) > 4 * SLICE_BYTES and len(starts) > 1:  # powers of a bounded number only
-        half = len(starts) // 2
-        cut = int(starts[half])
-        left = span_hashes(values[:cut], starts[:half], ends[:half])
-        return np.concatenate([left, span_hashes(values[cut:], starts[half:] - cut, ends[half:] - cut)])
-    power, inverse = powers(len(values))
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power[: len(values)], out=total[1:])
-    return mixed((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """A hash of `values[start:end]` for each span, the same wherever the span lies. Spans are in order.
+
+    A value and its place in the span are mixed together before they are added up, so that no regular words, such as those
+    that a polynomial can't tell apart, share a hash.
+    """
+    counts = np.asarray(ends, np.int64) - starts
+    at = np.concatenate([[0], np.cumsum(counts)])
+    sums = np.zeros(len(counts), np.uint64)
+    for begin in range(0, int(at[-1]), _BLOCK):
+        end = min(begin + _BLOCK, int(at[-1]))
+        first, last = np.searchsorted(at, begin, "right") - 1, np.searchsorted(at, end, "left")
+        low, high = np.maximum(at[first:last], begin), np.minimum(at[first + 1 : last + 1], end)
+        span = np.repeat(np.arange(first, last), high - low)
+        place = np.arange(begin, end) - at[span]
+        value = values[starts[span] + place].astype(np.uint64) + np.uint64(1)
+        h = mixed(mixed(value * _VALUE) + place.astype(np.uint64) * _PLACE)
+        held = np.flatnonzero(high > low)
+        sums[first + held] += np.add.reduceat(h, low[held] - begin)
+    return mixed(sums + counts.astype(np.uint64))
 
 
 @dataclass

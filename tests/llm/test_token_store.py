@@ -34,6 +34,12 @@ def test_pieces_as_the_library_cuts_them(encoder):
     ])
 
 
+def test_words_that_a_polynomial_takes_for_one(encoder):
+    from test_text import complements
+
+    check(encoder, [" ".join(complements(11)), "x " + complements(11)[1], complements(10)[0]])
+
+
 def test_random_texts(encoder):
     rng = np.random.default_rng(1)
     letters = np.array(list("ab'stredlvm  \n\t1 .,é日😀 ²"))

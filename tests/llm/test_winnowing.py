@@ -42,3 +42,11 @@ def test_a_null_item_id_marks_words_but_names_no_item(spark):
 def test_wrong_settings(odd):
     with pytest.raises(ValueError):
         scan(odd, odd, window=3, gram=4)
+
+
+def test_words_that_a_polynomial_takes_for_one(spark):
+    from test_text import complements
+
+    one, other = complements(10)
+    documents = spark.createDataFrame([(1, one), (2, f"x {other} y")], "doc_id long, text string")
+    assert [r[2] for r in result(documents, spark.createDataFrame([(7, one)], "item_id long, text string"))] == [1, 0]
