@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm.scratch import saved
+from shopledger.llm.scratch import saved, shared_folder
 
 BLANK = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -34,7 +34,10 @@ def _lines(text: Column) -> Column:
 
 
 class Runs:
-    """An index of line keys that grows batch by batch."""
+    """An index of line keys that grows batch by batch.
+
+    Runs lie below the shared folder; the catalog knows them, for their buckets, until `close`.
+    """
 
     def __init__(self, spark: SparkSession, *, fanout: int = 2, buckets: int | None = None):
         if fanout < 2:
@@ -49,7 +52,7 @@ class Runs:
         name = f"llm_run_{uuid.uuid4().hex}"
         (
             entries.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY)
-            .format("parquet").saveAsTable(name)
+            .format("parquet").option("path", shared_folder(self.spark)).saveAsTable(name)
         )
         return name
 
@@ -85,6 +88,13 @@ class Runs:
             for old in full:
                 self.spark.sql(f"DROP TABLE {old}")
 
+    def close(self) -> None:
+        """Forget all runs; what was read from them must have been written before."""
+        for level in self.levels:
+            for name in level:
+                self.spark.sql(f"DROP TABLE {name}")
+        self.levels = []
+
     def totals(self, least: int) -> DataFrame:
         """Keys found in at least `least` documents: h1, h2, docs, last."""
         entries = self._entries()
@@ -99,8 +109,8 @@ def dedup(documents: DataFrame, *, id_column: str = "doc_id", text_column: str =
     """One row per document: doc_id, n_lines (before), n_dropped, kept (the remaining lines joined by newlines).
 
     Lines whose key has at least `least_chars` characters and is found in at least `least_docs` documents stay only in the
-    document with the largest id among them. Texts are read twice, once for the keys of their lines and once to write what
-    is kept; between these only hashes and positions move.
+    document with the largest id among them. Texts are read twice, once for the keys of their lines, which move as hashes
+    and positions, and once to write what is kept, when texts move to the positions of their lines.
     """
     spark = documents.sparkSession
     texts = documents.select(
@@ -121,6 +131,7 @@ def dedup(documents: DataFrame, *, id_column: str = "doc_id", text_column: str =
         runs.add(own.groupBy(*KEY).agg(F.count("*").alias("docs"), F.max("doc_id").alias("last")))
     # written, so that the lines of a very common key can be split over tasks when they are joined
     often = saved(runs.totals(least_docs).select(*KEY, "last"))
+    runs.close()
     dropped = keyed.join(often, KEY).where(
         F.coalesce(F.col("doc_id") < F.col("last"), F.col("last").isNotNull())
     ).groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("out"))

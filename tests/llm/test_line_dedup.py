@@ -40,3 +40,9 @@ def test_runs_are_merged_by_level_and_hold_a_key_once(spark):
 def test_no_python_in_the_plan(odd):
     plan = dedup(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_no_table_is_left_in_the_catalog(spark, odd):
+    before = {t.name for t in spark.catalog.listTables()}
+    assert dedup(odd).count() == odd.count()
+    assert {t.name for t in spark.catalog.listTables()} == before
