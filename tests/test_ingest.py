@@ -381,3 +381,17 @@ def test_incremental_rates_equal_the_batch_run(spark, landing, rate_files, tmp_p
         "<Value>110,5</Value></Record></ValCurs>", encoding="cp1251")
     after, loaded = run()
     assert loaded == 4 and after[2]["rate_to_rub"] == 110.5 and after[:2] == stored[:2]
+
+
+def test_a_run_refreshes_the_marts_of_touched_months(spark, landing, tmp_path, monkeypatch):
+    from shopledger.plans import published
+
+    seen = []
+    monkeypatch.setattr(published, "refresh", lambda tables, root, months: seen.append((root, months)))
+    root = str(tmp_path / "w")
+    ingest.run(spark, landing, root, marts="/marts", only_new=True)
+    write(landing, "sales.csv", SALES_HEADER, sale(4, "2024-11-05"))
+    ingest.run(spark, landing, root, marts="/marts", only_new=True)
+    ingest.run(spark, landing, root, marts="/marts", only_new=True)
+    # everything at first, then what the load names (stock and plans of December land again), then nothing
+    assert seen == [("/marts", None), ("/marts", ("2024-11", "2024-12"))]
