@@ -36,6 +36,26 @@ def test_months_folded_from_days_equal_the_mart(tables, rows):
     assert [drop(r) for r in got] == [drop(r) for r in exact]
 
 
+def test_queries_count_many_values_exactly(spark, make, rows):
+    n = 40_000
+    text = lambda letter: F.concat(F.lit(letter), F.col("id").cast("string"))
+    [sale] = make(sales=[{}])["sales"].collect()
+    copies = spark.range(n).select(*(
+        (text("S") if f == "store_id" else text("P") if f == "product_id" else F.lit(sale[f])).alias(f)
+        for f in sale.asDict()))
+    one_store = copies.withColumn("store_id", F.lit("S0"))
+    one_product = copies.withColumn("product_id", F.lit("P1"))
+    tables = make()
+    counted = [
+        (daily_sales.monthly_sales_kpi_sketched, copies, {"active_stores": n, "active_products": n}),
+        (daily_sales.store_performance_sketched, one_store, {"active_products": n}),
+        (daily_sales.category_stores_sketched, one_product, {"active_stores": n}),
+    ]
+    for query, sales_rows, expected in counted:
+        [got] = rows(query(tables | {"sales": sales_rows}))
+        assert {c: got[c] for c in expected} == expected and got["sales_rows"] == n
+
+
 def test_any_span_of_days(tables, rows):
     first, last = date(1996, 3, 10), date(1996, 9, 5)
     days = daily_sales.by_store(tables, ["1996-%02d" % m for m in range(1, 13)])
