@@ -64,20 +64,35 @@ def _other_day(text: Column) -> Column:
     ))
 
 
-def _day_text(text: Column) -> Column:
-    return F.regexp_extract(text, rf"^(\d+(?:[-./]\d+)*)(?:{_CLOCK})?$", 1)
+def day_text(c: Column | str) -> Column:
+    """A day without the time written behind it, empty if it is none."""
+    return F.regexp_extract(F.trim(col(c)), rf"^(\d+(?:[-./]\d+)*)(?:{_CLOCK})?$", 1)
 
 
-def column_style(c: Column | str) -> Column:
+def _read_day(written: Column, style: str) -> Column:
+    """A day text in a style; texts with other marks between numbers aren't tried at all,
+    since a failed try costs many times a good one."""
+    mark = next((c for c in style if not c.isalpha()), "")
+    shape = r"^\d+$" if not mark else rf"^\d+[{mark}]\d+[{mark}]\d+$"
+    return F.when(F.rlike(written, F.lit(shape)), F.try_to_date(written, style))
+
+
+def column_style(c: Column | str, times: Column | str | None = None) -> Column:
     """Aggregate: the format that reads most of a column's values, null if none reads any.
 
     A day that fits two formats votes for both, so ``05.12.2024`` is settled by
-    the other days of its column.
+    the other days of its column. ``times`` says how often a value occurs.
     """
-    written = _day_text(F.trim(col(c)))
+    written = day_text(c)
+    number = F.lit(1).cast("bigint") if times is None else col(times)
+
+    def readable(style: str) -> Column:
+        votes = F.sum(F.when(_read_day(written, style).isNotNull(), number))
+        return F.coalesce(votes, F.lit(0).cast("bigint"))
+
     votes = F.array(*(
         F.struct(
-            F.count(F.try_to_date(written, style)).alias("readable"),
+            readable(style).alias("readable"),
             F.lit(-place).alias("preference"), F.lit(style).alias("style"),
         )
         for place, style in enumerate(COLUMN_STYLES)
@@ -88,8 +103,8 @@ def column_style(c: Column | str) -> Column:
 
 def styled_day(c: Column | str, chosen: Column) -> Column:
     """The day as the chosen format of its column reads it; what it can't read is null."""
-    written = _day_text(F.trim(col(c)))
-    ways = [(chosen == style, F.try_to_date(written, style)) for style in COLUMN_STYLES]
+    written = day_text(c)
+    ways = [(chosen == style, _read_day(written, style)) for style in COLUMN_STYLES]
     read = F.when(*ways[0])
     for way in ways[1:]:
         read = read.when(*way)

@@ -7,15 +7,16 @@ incomplete rows are dropped last.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from ..functions.parsing import column_style, fits, known, narrow, parse
+from ..functions.parsing import column_style, day_text, fits, known, narrow, parse
 from ..schemas import ENTITIES, Entity
 
 LANDING_ORDER = "landing_position"
@@ -43,6 +44,7 @@ def one_per_key(
 def clean(
     entity: Entity | str, landed: DataFrame, order: Sequence[Column | str] = (LANDING_ORDER,),
     per: Sequence[str] = (), dates: str = "each", overflow: bool = False,
+    text: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Typed, de-duplicated and complete rows of one landed table.
 
@@ -51,12 +53,14 @@ def clean(
     like; ``dates="column"`` finds the one format that reads most values of a
     column of a load, and nothing else of that column is readable then.
     ``overflow`` adds the names of the columns whose number was too large, and
-    keeps such rows even where the number is required.
+    keeps such rows even where the number is required. Where ``landed`` holds only
+    keys, order and what the other columns follow from, ``text`` gives rows these
+    columns: repeats go first, so the derived texts are neither sorted nor shuffled.
     """
     if dates not in ("each", "column"):
         raise ValueError("dates are read 'each' for itself or by 'column'")
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
-    rows = _typed(entity, landed, order, per, dates)
+    rows = _typed(entity, landed, order, per, dates, text)
     if not overflow:
         return rows.drop(OVERFLOWED).dropna(subset=list(entity.required))
     complete = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in entity.required))
@@ -97,13 +101,21 @@ def dropped(
 def date_styles(
     entity: Entity | str, landed: DataFrame, per: Sequence[str] = ()
 ) -> DataFrame | None:
-    """The format of each date column, by load: one pass that counts readable values."""
+    """The format of each date column, by load: one pass over the rows that counts equal days,
+    which are then read once in every format."""
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
     dated = [f.name for f in entity.staged if isinstance(f.dataType, (T.DateType, T.TimestampNTZType))]
     if not dated:
         return None
-    styles = F.struct(*(column_style(known(c)).alias(c) for c in dated)).alias(_STYLES)
-    return landed.groupBy(*per).agg(styles) if per else landed.agg(styles)
+    written = F.array(*(
+        F.struct(F.lit(c).alias("_column"), day_text(known(c)).alias("_day")) for c in dated))
+    days = landed.select(*per, F.inline(written)).groupBy(*per, "_column", "_day").agg(
+        F.count(F.lit(1)).alias("_times"))
+    styles = F.struct(*(
+        column_style(F.when(F.col("_column") == c, F.col("_day")), "_times").alias(c)
+        for c in dated
+    )).alias(_STYLES)
+    return days.groupBy(*per).agg(styles)
 
 
 _STYLES = "date_styles"
@@ -111,12 +123,14 @@ _STYLES = "date_styles"
 
 def _typed(
     entity: Entity, landed: DataFrame, order: Sequence[Column | str], per: Sequence[str],
-    dates: str = "each",
+    dates: str = "each", text: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Rows as ``clean`` gives them, with those that miss something required."""
     # only the key decides which copy stays; the rest is read from survivors
     keyed = landed.withColumns({n: known(n) for n in entity.key})
     single = one_per_key(keyed, [*entity.key, *per], order, entity.keep)
+    if text is not None:
+        single, landed = _apart(text(single)), text(landed)
     styles = date_styles(entity, landed, per) if dates == "column" else None
     if styles is not None and per:
         same = [single[c].eqNullSafe(styles[c]) for c in per]
@@ -127,6 +141,8 @@ def _typed(
     style = None if styles is None else F.col(_STYLES)
 
     def read(f: T.StructField) -> Column:
+        if f.name in entity.key and isinstance(f.dataType, T.StringType):
+            return F.col(f.name)  # known already; rows still lie by it
         dated = isinstance(f.dataType, (T.DateType, T.TimestampNTZType))
         return parse(known(f.name), f.dataType, style[f.name] if dated and style is not None else None)
 
@@ -149,6 +165,12 @@ def _typed(
     )
 
 
+def _apart(rows: DataFrame) -> DataFrame:
+    """The rows, whose columns Spark computes once: neither filters nor readers above
+    are merged into their expressions. Counting the rows as they pass does that."""
+    return rows.observe(f"kept_{uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
 def overflowed(entity: Entity) -> Column:
     """Names of the columns whose wide number has no room in their type."""
     numeric = [f for f in entity.staged if isinstance(f.dataType, (T.DecimalType, T.IntegralType))]
