@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning, integrity, merge, quality
 from ..schemas import MONEY, PRICE, RATE
-from ..sources.star_landing import LANDED
+from ..sources.star_landing import FROM_LINES, LANDED, sales_lines, sales_text
 from ..sources.star_schema import StarSchemaTables
 
 
 def cleaned(name: str, tables: StarSchemaTables) -> DataFrame:
-    return cleaning.clean(name, LANDED[name](tables), [cleaning.LANDING_ORDER])
+    rows, text = FROM_LINES.get(name, (LANDED[name], None))
+    return cleaning.clean(name, rows(tables), [cleaning.LANDING_ORDER], text=text)
 
 
 def clean_sales_of_mixed_dates(tables: StarSchemaTables) -> DataFrame:
@@ -22,12 +23,15 @@ def clean_sales_of_mixed_dates(tables: StarSchemaTables) -> DataFrame:
     """
     slashed = F.date_format(F.to_date("sale_date"), "dd/MM/yyyy")
     dotted = F.date_format(F.to_date("sale_date"), "MM.dd.yyyy")
-    landed = LANDED["sales"](tables).withColumns({
-        "sale_datetime": F.concat(dotted, F.lit(" 12:30")),
-        "sale_date": F.when(F.col("invoice_no").endswith("7"), F.col("sale_date"))
-        .otherwise(slashed),
-    })
-    return cleaning.clean("sales", landed, [cleaning.LANDING_ORDER], dates="column")
+    def text(lines: DataFrame) -> DataFrame:
+        return sales_text(lines).withColumns({
+            "sale_datetime": F.concat(dotted, F.lit(" 12:30")),
+            "sale_date": F.when(F.col("invoice_no").endswith("7"), F.col("sale_date"))
+            .otherwise(slashed),
+        })
+
+    return cleaning.clean(
+        "sales", sales_lines(tables), [cleaning.LANDING_ORDER], dates="column", text=text)
 
 
 def date_formats(tables: StarSchemaTables) -> DataFrame:
@@ -86,16 +90,19 @@ def quality_check(tables: StarSchemaTables) -> DataFrame:
 def quality_check_of_numbers(tables: StarSchemaTables) -> DataFrame:
     """Broken constraints of cleaned sales, some of whose numbers are too large for their columns."""
     huge = F.lit("0" * 9)
-    landed = LANDED["sales"](tables).withColumns({
-        "revenue": F.when(F.col("sales_channel") == "A",
-                          F.concat(F.split_part("revenue", F.lit("."), F.lit(1)), huge))
-        .otherwise(F.col("revenue")),
-        "discount_rate": F.when(F.col("quantity").endswith("7"), F.lit("1000.00"))
-        .otherwise(F.col("discount_rate")),
-        "invoice_type": F.when(F.col("quantity").endswith("1"), F.lit("NA"))
-        .otherwise(F.col("invoice_type")),
-    })
-    cleaned_rows = cleaning.clean("sales", landed, [cleaning.LANDING_ORDER], overflow=True)
+    def text(lines: DataFrame) -> DataFrame:
+        return sales_text(lines).withColumns({
+            "revenue": F.when(F.col("sales_channel") == "A",
+                              F.concat(F.split_part("revenue", F.lit("."), F.lit(1)), huge))
+            .otherwise(F.col("revenue")),
+            "discount_rate": F.when(F.col("quantity").endswith("7"), F.lit("1000.00"))
+            .otherwise(F.col("discount_rate")),
+            "invoice_type": F.when(F.col("quantity").endswith("1"), F.lit("NA"))
+            .otherwise(F.col("invoice_type")),
+        })
+
+    cleaned_rows = cleaning.clean(
+        "sales", sales_lines(tables), [cleaning.LANDING_ORDER], overflow=True, text=text)
     return quality.violations("sales", cleaned_rows)
 
 

@@ -49,61 +49,110 @@ _LINE = [
 
 
 def _lines(tables: StarSchemaTables) -> DataFrame:
+    """Order lines as they lie: the line as landing position, and what isn't part of that."""
     parts = tables.source("part").select("p_partkey", F.col("p_type").alias("category"))
-    day = F.col("l_shipdate").cast("date")
-    gross = F.col("l_extendedprice").cast(MONEY)
-    revenue = F.round(gross * (F.lit(1) - F.col("l_discount").cast("decimal(5,2)")), 2)
-    cost = F.round(gross * F.lit("0.72").cast("decimal(3,2)"), 2)
-    units = F.col("l_quantity").cast("int")
     return (
         tables.source("lineitem")
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .withColumns({
-            "store_id": store_id("l_suppkey"), "product_id": product_id("l_partkey"),
-            "day": day, "gross": gross, "revenue": revenue, "total_cost": cost,
-            "profit": revenue - cost,
-            "quantity": F.when(F.col("l_returnflag") == "R", -units).otherwise(units),
-        })
+        .select(F.struct(*_LINE).alias(LANDING_ORDER), "category", "l_linestatus")
     )
 
 
-def landed_sales(tables: StarSchemaTables) -> DataFrame:
-    order = F.col("l_orderkey").cast("string")
-    rows = _lines(tables).withColumns({
-        "sale_id": F.concat_ws("-", order, F.col("l_linenumber").cast("string")),
-        "invoice_no": order, "invoice_type": F.col("l_linestatus"),
+def _line(name: str) -> Column:
+    return F.col(f"{LANDING_ORDER}.{name}")
+
+
+def _day() -> Column:
+    return _line("l_shipdate").cast("date")
+
+
+def _amounts(rows: DataFrame) -> DataFrame:
+    """What all tables derive from a line."""
+    gross = _line("l_extendedprice").cast(MONEY)
+    revenue = F.round(gross * (F.lit(1) - _line("l_discount").cast("decimal(5,2)")), 2)
+    cost = F.round(gross * F.lit("0.72").cast("decimal(3,2)"), 2)
+    units = _line("l_quantity").cast("int")
+    return rows.withColumns({
+        "day": _day(), "gross": gross, "revenue": revenue, "total_cost": cost,
+        "profit": revenue - cost,
+        "store_id": store_id(f"{LANDING_ORDER}.l_suppkey"),
+        "product_id": product_id(f"{LANDING_ORDER}.l_partkey"),
+        "quantity": F.when(_line("l_returnflag") == "R", -units).otherwise(units),
+    })
+
+
+def _line_text(name: str, rows: DataFrame) -> DataFrame:
+    return rows.select(
+        *(F.col(c).cast("string").alias(c) for c in ENTITIES[name].staged.names), LANDING_ORDER)
+
+
+def sales_lines(tables: StarSchemaTables) -> DataFrame:
+    order = _line("l_orderkey").cast("string")
+    number = _line("l_linenumber").cast("string")
+    return _lines(tables).withColumn("sale_id", F.concat_ws("-", order, number))
+
+
+def sales_text(lines: DataFrame) -> DataFrame:
+    rows = _amounts(lines).withColumns({
+        "invoice_no": _line("l_orderkey").cast("string"), "invoice_type": F.col("l_linestatus"),
         "sale_datetime": F.concat(F.col("day").cast("string"), F.lit(" 12:30:00")),
         "sale_date": F.col("day"), "sale_month": month_of("day"),
-        "stock_code": F.col("l_partkey"), "description": F.lit(None),
-        "unit_price": F.col("l_extendedprice").cast("decimal(12,2)"),
-        "discount_rate": F.when(F.col("l_discount") == 0, "").otherwise(
-            F.col("l_discount").cast("decimal(5,2)").cast("string")),
+        "stock_code": _line("l_partkey"), "description": F.lit(None),
+        "unit_price": _line("l_extendedprice").cast("decimal(12,2)"),
+        "discount_rate": F.when(_line("l_discount") == 0, "").otherwise(
+            _line("l_discount").cast("decimal(5,2)").cast("string")),
         "unit_cost": F.col("total_cost"),
         "customer_id": F.lit("n/a"), "country": F.lit("NULL"),
-        "sales_channel": F.col("l_returnflag"),
+        "sales_channel": _line("l_returnflag"),
     })
-    return _as_text("sales", rows, _LINE)
+    return _line_text("sales", rows)
 
 
-def landed_inventory(tables: StarSchemaTables) -> DataFrame:
-    qty = F.col("l_quantity").cast("int") * 7 % 61
-    rows = _lines(tables).withColumns({
-        "inventory_date": F.last_day("day"), "stock_qty": qty,
+def inventory_lines(tables: StarSchemaTables) -> DataFrame:
+    return _lines(tables).withColumns({
+        "inventory_date": F.last_day(_day()).cast("string"),
+        "store_id": store_id(f"{LANDING_ORDER}.l_suppkey"),
+        "product_id": product_id(f"{LANDING_ORDER}.l_partkey"),
+    })
+
+
+def inventory_text(lines: DataFrame) -> DataFrame:
+    qty = _line("l_quantity").cast("int") * 7 % 61
+    rows = _amounts(lines).withColumns({
+        "stock_qty": qty,
         "stock_value": _money("gross"), "reorder_point": F.lit("15.9"),
-        "days_of_cover": F.when(qty == 0, "nan").otherwise(F.col("l_quantity").cast("string")),
+        "days_of_cover": F.when(qty == 0, "nan").otherwise(_line("l_quantity").cast("string")),
         "stock_status": F.when(qty < 15, "LOW").when(qty > 45, "OVERSTOCK").otherwise("OK"),
     })
-    return _as_text("inventory", rows, _LINE)
+    return _line_text("inventory", rows)
 
 
-def landed_plan(tables: StarSchemaTables) -> DataFrame:
-    rows = _lines(tables).withColumns({
-        "plan_month": month_of(F.add_months("day", 12)),
+def plan_lines(tables: StarSchemaTables) -> DataFrame:
+    return _lines(tables).withColumns({
+        "plan_month": month_of(F.add_months(_day(), 12)),
+        "store_id": store_id(f"{LANDING_ORDER}.l_suppkey"),
+    })
+
+
+def plan_text(lines: DataFrame) -> DataFrame:
+    rows = _amounts(lines).withColumns({
         "plan_revenue": _money("revenue"), "plan_profit": _money("profit"),
         "plan_qty": F.when(F.col("quantity") < 0, "none").otherwise(
             F.col("quantity").cast("string")),
     })
-    return _as_text("plan_sales", rows, _LINE)
+    return _line_text("plan_sales", rows)
+
+
+def landed_sales(tables: StarSchemaTables) -> DataFrame:
+    return sales_text(sales_lines(tables))
+
+
+def landed_inventory(tables: StarSchemaTables) -> DataFrame:
+    return inventory_text(inventory_lines(tables))
+
+
+def landed_plan(tables: StarSchemaTables) -> DataFrame:
+    return plan_text(plan_lines(tables))
 
 
 def landed_rates(tables: StarSchemaTables) -> DataFrame:
@@ -121,3 +170,8 @@ LANDED = {
     "stores": landed_stores, "products": landed_products, "sales": landed_sales,
     "inventory": landed_inventory, "plan_sales": landed_plan, "currency_rates": landed_rates,
 }
+# keys and whole lines, and what gives kept ones their texts
+FROM_LINES = {
+    "sales": (sales_lines, sales_text), "inventory": (inventory_lines, inventory_text),
+    "plan_sales": (plan_lines, plan_text),
+}
