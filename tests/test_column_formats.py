@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from shopledger.functions.parsing import COLUMN_STYLES, column_style, styled_day, styled_moment
 from shopledger.operators import cleaning, quality
 from shopledger.operators.quality import QualityError
+from shopledger.plans import upkeep
+from shopledger.sources.star_schema import StarSchemaTables
 from test_cleaning import SALE
 
 
@@ -66,6 +68,34 @@ def test_empty_table_by_column(text_rows):
     assert cleaning.clean("sales", text_rows("sales", []), dates="column").collect() == []
 
 
+def test_each_day_is_tried_once_in_every_format(text_rows):
+    landed = text_rows("sales", [SALE | {"sale_id": str(i)} for i in range(5)])
+    plan = cleaning.date_styles("sales", landed)._jdf.queryExecution().optimizedPlan().toString()
+    # rows are only counted by day; what tries formats stands above that
+    assert "gettimestamp" in plan.split("Aggregate [_column")[0] and "gettimestamp" not in plan.split("Aggregate [_column")[1]
+
+
+def test_days_written_otherwise_are_not_tried(spark):
+    frame = spark.createDataFrame([("31/12/2024",)], "x string")
+    plan = frame.select(styled_day("x", F.lit("d.M.yyyy")))._jdf.queryExecution().analyzed().toString()
+    assert r"^\d+[.]\d+[.]\d+$" in plan
+
+
+@pytest.mark.parametrize("query, derived", [
+    (upkeep.clean_sales_of_mixed_dates, "round("), (upkeep.quality_check_of_numbers, "round("),
+    (lambda t: upkeep.cleaned("sales", t), "round("), (lambda t: upkeep.cleaned("inventory", t), "15.9")])
+def test_derived_texts_are_not_shuffled(spark, query, derived):
+    plan = query(StarSchemaTables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+    *above, below = plan.split("Window [")
+    assert "l_extendedprice" in below and derived not in below and derived in "".join(above)
+
+
+def test_cleaned_numbers_are_checked_in_one_pass(spark):
+    tables = StarSchemaTables(spark, "/root/testdata/sf0.001")
+    plan = upkeep.quality_check_of_numbers(tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1
+
+
 # ---- numbers too large for their column ----
 
 def test_a_number_too_large_is_not_a_missing_one(text_rows, rows):
