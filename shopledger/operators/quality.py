@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,18 +27,21 @@ def _entity(entity: Entity | str) -> Entity:
 
 def _counts(entity: Entity, overflow: bool) -> dict[tuple[str, str], Column]:
     """Aggregates by rule and column; none of them needs a shuffle of rows."""
+    return {at: F.count_if(rule) for at, rule in _broken(entity, overflow).items()}
+
+
+def _broken(entity: Entity, overflow: bool) -> dict[tuple[str, str], Column]:
+    """Whether a row breaks a rule, by rule and column."""
     def too_large(c: str) -> Column:
         return F.array_contains(OVERFLOWED, c) if overflow else F.lit(False)
 
-    counts = {
-        ("not_null", c): F.count_if(F.col(c).isNull() & ~too_large(c)) for c in entity.not_null
-    }
+    broken = {("not_null", c): F.col(c).isNull() & ~too_large(c) for c in entity.not_null}
     if overflow:
-        counts |= {
-            ("precision", f.name): F.count_if(too_large(f.name)) for f in entity.staged
+        broken |= {
+            ("precision", f.name): too_large(f.name) for f in entity.staged
             if isinstance(f.dataType, (T.DecimalType, T.IntegralType))
         }
-    return counts
+    return broken
 
 
 def _repeats(entity: Entity, rows: DataFrame) -> DataFrame:
@@ -51,23 +54,51 @@ def _repeats(entity: Entity, rows: DataFrame) -> DataFrame:
     )
 
 
+def _violations_by_key(entity: Entity, rows: DataFrame) -> DataFrame:
+    """Counts and repeats in one pass over rows that lie by their key, as cleaned ones do.
+
+    The broken rules of a row travel as the bits of a number.
+    """
+    broken = _broken(entity, True)
+    bits = reduce(lambda a, b: a.bitwiseOR(b), (
+        F.when(rule, F.lit(1 << place)).otherwise(F.lit(0)).cast("bigint")
+        for place, rule in enumerate(broken.values())))
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*entity.key))
+    kinds = (
+        rows.select(*entity.key, bits.alias("_broken")).withColumn("_copies", copies)
+        .groupBy("_broken")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.count_if(F.col("_copies") > 1).alias("_repeated"))
+    )
+    none = F.lit(0).cast("bigint")
+    entries = [
+        (rule, c, F.sum(F.when(F.getbit("_broken", F.lit(place)) == 1, F.col("_rows"))))
+        for place, (rule, c) in enumerate(broken)
+    ] + [("unique", ", ".join(entity.key), F.sum("_repeated"))]
+    return kinds.agg(F.array(*(
+        F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("columns"),
+                 F.coalesce(n, none).alias("bad_rows"))
+        for rule, c, n in entries
+    )).alias("counts")).select(F.inline("counts"))
+
+
 def violations(entity: Entity | str, rows: DataFrame) -> DataFrame:
     """One row per broken rule: ``(table_name, rule, columns, bad_rows)``.
 
     Counts of all columns come from one pass; key repeats are counted
-    with map-side combining, so a heavily repeated key costs no more.
+    with map-side combining, so a heavily repeated key costs no more. Cleaned
+    rows lie by their key, which they hold once: one pass gives all of it.
     """
     entity = _entity(entity)
-    found = _counts(entity, OVERFLOWED in rows.columns)
-    counts = rows.agg(F.array(*(
-        F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("columns"), n.alias("bad_rows"))
-        for (rule, c), n in found.items()
-    )).alias("counts")).select(F.inline("counts"))
-    return (
-        counts.unionByName(_repeats(entity, rows))
-        .filter("bad_rows > 0")
-        .select(F.lit(entity.name).alias("table_name"), "rule", "columns", "bad_rows")
-    )
+    if OVERFLOWED in rows.columns:
+        found = _violations_by_key(entity, rows)
+    else:
+        counts = rows.agg(F.array(*(
+            F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("columns"), n.alias("bad_rows"))
+            for (rule, c), n in _counts(entity, False).items()
+        )).alias("counts")).select(F.inline("counts"))
+        found = counts.unionByName(_repeats(entity, rows))
+    return found.filter("bad_rows > 0").select(
+        F.lit(entity.name).alias("table_name"), "rule", "columns", "bad_rows")
 
 
 def watched(entity: Entity | str, rows: DataFrame) -> tuple[DataFrame, Observation]:
