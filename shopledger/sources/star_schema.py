@@ -58,11 +58,19 @@ class StarSchemaTables(Mapping[str, DataFrame]):
         return self._sources[name]
 
     def stores(self) -> DataFrame:
+        # The few places come as a lookup, repeats included. Spark multiplies the sizes of joined
+        # tables, so a join would hide from it that the stores can be broadcast.
+        places = (
+            self.source("nation")
+            .join(self.source("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .filter(F.col("n_nationkey").isNotNull())
+            .groupBy("n_nationkey").agg(F.collect_list(F.struct("n_name", "r_name")).alias("at"))
+            .agg(F.map_from_entries(F.collect_list(F.struct("n_nationkey", "at"))))
+        )
         key = F.col("s_suppkey")
         return (
             self.source("supplier")
-            .join(self.source("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(self.source("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .select("s_suppkey", "s_name", F.inline(places.scalar()[F.col("s_nationkey")]))
             .select(
                 store_id("s_suppkey").alias("store_id"),
                 F.col("s_name").alias("store_name"),
