@@ -36,15 +36,15 @@ class Side:
     rows: Column | str | None = None
 
 
-def align(keys: Sequence[str], sides: Mapping[str, Side]) -> DataFrame:
+def align(keys: Sequence[str], sides: Mapping[str, Side], nulls_meet: bool = False) -> DataFrame:
     """Full outer alignment of all sides on ``keys``.
 
     Sums of an absent side are null. As in a join, a null key equals nothing:
-    rows with one stay apart from the other sides' rows.
+    rows with one stay apart from the other sides' rows. With ``nulls_meet`` they
+    share a row, as if the joined rows had been grouped by the keys.
     """
     stacked = [
-        _measured(name, side, keys)
-        .withColumn("_alone", F.when(_any_null(keys), F.lit(name)))
+        _measured(name, side, keys).withColumn("_alone", F.when(_any_null(keys), F.lit(name)))
         for name, side in sides.items()
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
@@ -57,7 +57,8 @@ def align(keys: Sequence[str], sides: Mapping[str, Side]) -> DataFrame:
         for side in sides.values() for a in side.sums
     ]
     aggregates += [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]
-    return rows.groupBy(*keys, "_alone").agg(*aggregates).drop("_alone")
+    groups = keys if nulls_meet else [*keys, "_alone"]
+    return rows.groupBy(*groups).agg(*aggregates).drop("_alone")
 
 
 def _scales(side: Side) -> dict[str, int]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_of
 from ..functions.labels import management
-from ..functions.numbers import TOTAL, exact_avg, or_zero, pct, ratio, total
+from ..functions.numbers import TOTAL, or_zero, pct, ratio, total
 from ..operators.aligning import Side, align
 from ..operators.ranking import with_ranks
 from ..operators.sharing import zero_of_all
@@ -20,11 +20,10 @@ _KEY = ("report_month", "store_id", "category")
 _STATUSES = {"LOW": "low_stock", "OVERSTOCK": "overstock", "OK": "ok_stock"}
 
 
-def _cells(tables: Tables, months: Months) -> DataFrame:
-    """Sales, plan and stock per month, store and category.
+def _stock(tables: Tables, months: Months) -> DataFrame:
+    """Stock per month, store and product with the product's category.
 
-    Stock of a product missing from the dimension has no category and keeps a
-    row of its own.
+    Stock of a product missing from the dimension has no category.
     """
     status = F.col("stock_status")
     # summed by product first: the join that finds the category meets no single position
@@ -38,7 +37,14 @@ def _cells(tables: Tables, months: Months) -> DataFrame:
             F.count(F.lit(1)).alias("positions"),
         )
     )
-    stock = with_product(by_product, tables, "category")
+    return with_product(by_product, tables, "category")
+
+
+def _cells(tables: Tables, months: Months) -> DataFrame:
+    """Sales, plan and stock per month, store and category.
+
+    Stock without a category keeps a row of its own.
+    """
     aligned = align(
         _KEY,
         {
@@ -55,7 +61,7 @@ def _cells(tables: Tables, months: Months) -> DataFrame:
                 sums={c: c for c in ("plan_revenue", "plan_profit", "plan_qty")},
             ),
             "stock": Side(
-                stock, ["stock_month", "store_id", "category"],
+                _stock(tables, months), ["stock_month", "store_id", "category"],
                 sums={
                     c: c for c in (
                         "stock_qty", "stock_value", "cover_days",
@@ -105,29 +111,66 @@ def retail_kpi_mart(tables: Tables, months: Months = None) -> DataFrame:
     )
 
 
-@over_months
-def store_monthly_heatmap(tables: Tables, months: Months = None) -> DataFrame:
-    """Store by month with its ranks among all stores of the month, known or not."""
-    by_store = (
-        _cells(tables, months)
-        .groupBy("report_month", "store_id")
+def _by_store(tables: Tables, months: Months) -> DataFrame:
+    """What the cells of a month and store sum to.
+
+    Only the mean cover is taken cell by cell; all else is summed by store at
+    once, so neither sales nor plans are shuffled by category.
+    """
+    covered = (
+        _stock(tables, months)
+        .groupBy("stock_month", "store_id", "category")
         .agg(
-            total("fact_revenue").alias("fact_revenue"),
-            total("fact_profit").alias("fact_profit"),
-            total("plan_revenue").alias("plan_revenue"),
-            total("revenue_variance").alias("revenue_variance"),
             total("stock_value").alias("stock_value"),
             F.sum("low_stock_positions").alias("low_stock_positions"),
             F.sum("overstock_positions").alias("overstock_positions"),
-            exact_avg(F.nullif("avg_days_of_cover", F.lit(0))).alias("avg_days_of_cover"),
+            ratio(F.sum("cover_days"), F.sum("positions")).alias("cover"),
         )
+        .withColumn("cover", F.nullif("cover", F.lit(0)))
     )
+    aligned = align(
+        ("report_month", "store_id"),
+        {
+            "sales": Side(
+                sales_of(tables, months), ["sale_month", "store_id"],
+                sums={"fact_revenue": "revenue", "fact_profit": "profit"},
+            ),
+            "plan": Side(
+                plan_of(tables, months), ["plan_month", "store_id"],
+                sums={"plan_revenue": "plan_revenue"},
+            ),
+            "stock": Side(
+                covered, ["stock_month", "store_id"],
+                sums={
+                    "stock_value": "stock_value", "low_stock_positions": "low_stock_positions",
+                    "overstock_positions": "overstock_positions", "cover": "cover",
+                    "covered": F.col("cover").isNotNull().cast("bigint"),
+                },
+            ),
+        },
+        nulls_meet=True,
+    )
+    gap = or_zero("fact_revenue") - or_zero("plan_revenue")
+    return aligned.select(
+        "report_month", "store_id",
+        *(or_zero(c).cast(TOTAL).alias(c) for c in ("fact_revenue", "fact_profit", "plan_revenue")),
+        gap.cast(TOTAL).alias("revenue_variance"),
+        or_zero("stock_value").cast(TOTAL).alias("stock_value"),
+        or_zero("low_stock_positions").alias("low_stock_positions"),
+        or_zero("overstock_positions").alias("overstock_positions"),
+        ratio("cover", "covered").alias("avg_days_of_cover"),
+    )
+
+
+@over_months
+def store_monthly_heatmap(tables: Tables, months: Months = None) -> DataFrame:
+    """Store by month with its ranks among all stores of the month, known or not."""
     ranks = {
         "revenue_rank": -F.col("fact_revenue"),
         "profit_rank": -F.col("fact_profit"),
         "underplan_rank": F.col("revenue_variance"),
     }
-    ranked = with_ranks(by_store, "report_month", ranks)
+    ranked = with_ranks(_by_store(tables, months), "report_month", ranks)
     return with_store(ranked, tables).select(
         "report_month", "store_id", *STORE_NAMES,
         "fact_revenue", "fact_profit", "plan_revenue", "revenue_variance",
