@@ -124,14 +124,13 @@ class StarSchemaTables(Mapping[str, DataFrame]):
             .select("l_orderkey", "l_linenumber", "line.*")
         )
 
-    def priced_lines(self) -> DataFrame:
+    def _priced(self, lines: DataFrame) -> DataFrame:
         gross = F.col("l_extendedprice").cast(MONEY)
         kept = F.lit(1) - F.col("l_discount").cast("decimal(5,2)")
         cost_rate = F.lit("0.72").cast("decimal(3,2)")
         parts = self.source("part").select("p_partkey", F.col("p_type").alias("category"))
         return (
-            self.lines()
-            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+            lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .withColumn("sale_date", F.col("l_shipdate").cast("date"))
             .withColumn("revenue", F.round(gross * kept, 2).cast(MONEY))
             .withColumn("total_cost", F.round(gross * cost_rate, 2).cast(MONEY))
@@ -141,15 +140,16 @@ class StarSchemaTables(Mapping[str, DataFrame]):
 
     def sales(self) -> DataFrame:
         # Grouped by its key, so that a query not reading the channel has the
-        # whole join removed by the optimizer.
+        # whole join removed by the optimizer. Lines meet it as they lie: what is
+        # derived from them, and their category, would be shuffled along.
         channels = (
             self.source("orders")
             .groupBy("o_orderkey")
             .agg(F.min(F.substr("o_orderpriority", F.lit(3))).alias("sales_channel"))
         )
         return (
-            self.priced_lines()
-            .join(channels, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+            self._priced(
+                self.lines().join(channels, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
             .select(
                 F.concat_ws("-", F.col("l_orderkey").cast("string"),
                             F.col("l_linenumber").cast("string")).alias("sale_id"),
