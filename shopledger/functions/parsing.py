@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,7 +53,13 @@ def comma_number(c: Column | str) -> Column:
 def day(c: Column | str) -> Column:
     """The day of a date or a date with a time; anything else around it makes it null."""
     text = F.trim(col(c))
-    return F.when(F.rlike(text, F.lit(_ISO)), text.try_cast("date")).otherwise(_other_day(text))
+    return F.when(F.rlike(text, F.lit(_ISO)), text.try_cast("date")).otherwise(
+        _rarely(text, _other_day))
+
+
+def _rarely(text: Column, read: Callable[[Column], Column]) -> Column:
+    """A rare reading as a lambda: generated methods stay short, long ones are never compiled."""
+    return F.get(F.transform(F.array(text), read), F.lit(0))
 
 
 def _other_day(text: Column) -> Column:
@@ -77,6 +85,33 @@ def _read_day(written: Column, style: str) -> Column:
     return F.when(F.rlike(written, F.lit(shape)), F.try_to_date(written, style))
 
 
+def _reader(style: str) -> tuple[str, str]:
+    """Pattern of a whole text with a day in a style, and the replacement that puts it in the usual
+    way, with the time behind it; any other text keeps nothing but marks, which are no day."""
+    mark = next((c for c in style if not c.isalpha()), "")
+    # a formatter takes up to 19 digits for a month or a day, but four for a year
+    digits = {"yyyy": r"(\d{4})", "M": r"0{0,17}(\d{1,2})", "d": r"0{0,17}(\d{1,2})"}
+    if mark:
+        fields = style.split(mark)
+        written = f"[{mark}]".join(digits[f] for f in fields)
+    else:
+        fields, written = ["yyyy", "M", "d"], r"(\d{4})(\d{2})(\d{2})"
+    year, month, day_of_month = (fields.index(f) + 1 for f in ("yyyy", "M", "d"))
+    return f"(?s)^{written}(?:{_CLOCK})?$|^.*$", f"${year}-${month}-${day_of_month} $4"
+
+
+def style_reader(chosen: Column) -> Column:
+    """What ``read_day`` and ``read_moment`` need of a format, computed once for a column."""
+    readers = [
+        F.struct(F.lit(pattern).alias("pattern"), F.lit(usual).alias("usual"))
+        for pattern, usual in map(_reader, COLUMN_STYLES)
+    ]
+    read = F.when(chosen == COLUMN_STYLES[0], readers[0])
+    for style, reader in zip(COLUMN_STYLES[1:], readers[1:]):
+        read = read.when(chosen == style, reader)
+    return read
+
+
 def column_style(c: Column | str, times: Column | str | None = None) -> Column:
     """Aggregate: the format that reads most of a column's values, null if none reads any.
 
@@ -115,11 +150,25 @@ def styled_moment(c: Column | str, chosen: Column) -> Column:
     return _timed(F.trim(col(c)), styled_day(c, chosen))
 
 
+def _usual(c: Column | str, reader: Column) -> Column:
+    return F.regexp_replace(F.trim(col(c)), reader["pattern"], reader["usual"])
+
+
+def read_day(c: Column | str, reader: Column) -> Column:
+    """As ``styled_day``, in one step that is the same for all formats."""
+    return _usual(c, reader).try_cast("date")
+
+
+def read_moment(c: Column | str, reader: Column) -> Column:
+    """As ``styled_moment``, from what ``style_reader`` made of the format."""
+    return _usual(c, reader).try_cast("timestamp_ntz")
+
+
 def moment(c: Column | str) -> Column:
     """A day with its time, midnight where none is written."""
     text = F.trim(col(c))
     return F.when(F.rlike(text, F.lit(_ISO)), text.try_cast("timestamp_ntz")).otherwise(
-        _timed(text, _other_day(text))
+        _rarely(text, lambda t: _timed(t, _other_day(t)))
     )
 
 
@@ -133,14 +182,14 @@ def _timed(text: Column, read: Column) -> Column:
 def parse(c: Column, target: T.DataType, style: Column | None = None) -> Column:
     """Read text as ``target``; numbers stay wide until ``narrow`` is applied.
 
-    With a ``style``, days are read in this one format of their column.
+    With a ``style``, of ``style_reader``, days are read in this one format of their column.
     """
     if isinstance(target, T.StringType):
         return c
     if isinstance(target, T.DateType):
-        return day(c) if style is None else styled_day(c, style)
+        return day(c) if style is None else read_day(c, style)
     if isinstance(target, T.TimestampNTZType):
-        return moment(c) if style is None else styled_moment(c, style)
+        return moment(c) if style is None else read_moment(c, style)
     return number(c)
 
 

@@ -1,9 +1,12 @@
+import re
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from shopledger.functions.parsing import COLUMN_STYLES, column_style, styled_day, styled_moment
+from shopledger.functions.parsing import (
+    COLUMN_STYLES, column_style, read_day, read_moment, style_reader, styled_day, styled_moment,
+)
 from shopledger.operators import cleaning, quality
 from shopledger.operators.quality import QualityError
 from shopledger.plans import upkeep
@@ -81,6 +84,37 @@ def test_days_written_otherwise_are_not_tried(spark):
     assert r"^\d+[.]\d+[.]\d+$" in plan
 
 
+def test_one_step_reads_as_the_formats_do(spark):
+    days = ["05.12.2024", "5.12.2024", "31.12.2024", "12.31.2024", "005.0012.2024", "0.1.2024", "30.2.2024",
+            "29.2.2024", "5.12.24", "5.12.12024", "5.12.0000", "1.2.0999", "2024.12.5", "5.12", "5.12.2024.1",
+            "0" * 17 + "5.12.2024", "0" * 18 + "5.12.2024", "0" * 19 + "5.12.2024", "1.1.2024x", "x1.1.2024", "", " ", "."]
+    written = [d.replace(".", m) for d in days for m in "./-"] + [
+        "2024-12-5", "2024/12/5", "20241205", "20241332", "2024125", "120241205", "00000101"]
+    texts = [day + clock for day in written for clock in (
+        "", " ", " 7:30", "T07:30:15", "  23:59:59.123456", " 24:00", " 7", "\n", " 7:30\n", "\n7:30", "\t")]
+    frame = spark.createDataFrame([(t, s) for t in [*texts, None] for s in [*COLUMN_STYLES, None]], "x string, s string")
+    read = frame.withColumn("r", style_reader(F.col("s"))).select(
+        "x", "s", styled_day("x", F.col("s")).alias("d"), read_day("x", F.col("r")).alias("day"),
+        styled_moment("x", F.col("s")).alias("m"), read_moment("x", F.col("r")).alias("moment"))
+    assert read.filter("not d <=> day or not m <=> moment").collect() == []
+    assert read.filter("d is not null").count() > 300 and read.filter("m is null and d is not null").count() > 30
+
+
+@pytest.mark.parametrize("name", ["clean_sales_of_mixed_dates", "clean_sales"])
+def test_generated_methods_are_short_enough_to_be_compiled(spark, name):
+    from __spark_entry__ import queries
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+        text = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert len(sizes) > 3 and max(sizes) < 8000  # the JVM leaves longer ones to its interpreter
+
+
 @pytest.mark.parametrize("query, derived", [
     (upkeep.clean_sales_of_mixed_dates, "round("), (upkeep.quality_check_of_numbers, "round("),
     (lambda t: upkeep.cleaned("sales", t), "round("), (lambda t: upkeep.cleaned("inventory", t), "15.9")])
