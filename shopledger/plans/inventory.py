@@ -79,9 +79,13 @@ def inventory_turnover(
             total("profit").alias("profit"),
         )
     )
+    # a position has at most 31 counts in a month, so summing them before the shuffle only costs;
+    # the sort by which its texts are compared is the one that the join wants
     stocked = (
         inventory_of(tables, months)
-        .groupBy(month_of("inventory_date").alias("report_month"), "store_id", "product_id")
+        .withColumn("report_month", month_of("inventory_date"))
+        .repartition(*key)
+        .groupBy(*key)
         .agg(
             F.sum("stock_qty").alias("stock_qty"),
             total("stock_value").alias("stock_value"),

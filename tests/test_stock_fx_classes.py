@@ -35,6 +35,18 @@ def test_turnover_status(make, rows, stock, sale, status):
     assert rows(inventory_turnover(tables))[0]["turnover_status"] == status
 
 
+def test_stock_is_summed_behind_its_one_shuffle(spark, make, rows):
+    counts = [dict(inventory_date=date(2024, 12, d), stock_qty=q, stock_value=str(q * 10), days_of_cover=str(q),
+                   stock_status=s) for d, q, s in ((10, 5, "LOW"), (20, 50, "OVERSTOCK"), (31, 20, "OK"))]
+    turned = inventory_turnover(make(inventory=counts))
+    [got] = rows(turned)
+    assert (got["stock_qty"], got["stock_value"], got["stock_status"]) == (75, 750, "OVERSTOCK")
+    assert got["avg_days_of_cover"] == 25
+    # comparing texts sorts; before the shuffle this would be one more sort of all positions
+    below = turned._jdf.queryExecution().sparkPlan().toString().split("partial_max(stock_status")[1]
+    assert "RepartitionByExpression" in below or "REPARTITION_BY_COL" in below
+
+
 def test_status_of_a_month_is_the_last_in_alphabet(make, rows):
     tables = make(inventory=[
         {"stock_status": "LOW", "inventory_date": date(2024, 12, 15)}, {"stock_status": "OK"},
