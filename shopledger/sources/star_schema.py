@@ -9,15 +9,20 @@ the whole source table, so a mart that needs three columns reads three columns.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from decimal import Decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_of
-from ..functions.numbers import TOTAL
+from ..functions.numbers import TOTAL, scaled, unscaled
 from ..schemas import MONEY, PRICE, RATE
 
+_RAISED = Decimal("1.05")
+
 
 def store_id(key: str) -> Column:
     return F.concat(F.lit("S"), F.lpad(F.col(key).cast("string"), 6, "0"))
@@ -162,18 +167,71 @@ class StarSchemaTables(Mapping[str, DataFrame]):
         )
 
     def plan_sales(self) -> DataFrame:
-        raised = F.lit("1.05").cast("decimal(3,2)")
         return (
             self["sales"]
             .withColumn("plan_month", month_of(F.add_months("sale_date", 12)))
             .groupBy("plan_month", "store_id", "category")
             .agg(
-                F.round(F.sum("revenue") * raised, 2).cast(TOTAL).alias("plan_revenue"),
-                F.round(F.sum("profit") * raised, 2).cast(TOTAL).alias("plan_profit"),
+                F.round(F.sum("revenue") * F.lit(_RAISED), 2).cast(TOTAL).alias("plan_revenue"),
+                F.round(F.sum("profit") * F.lit(_RAISED), 2).cast(TOTAL).alias("plan_profit"),
                 F.sum("quantity").alias("plan_qty"),
             )
         )
 
+    def plan_fact_cells(self, months: Iterable[str] | None = None) -> DataFrame:
+        """Plans and sales by month, store and category, as ``plan_fact.cells`` aligns them.
+
+        A plan is the sales of a year before, so one sum by cell, on keys as they lie,
+        gives both. It is moved once more, to its store: there a cell and what follows
+        from it a year later meet, and sums by store find their rows in one place. A
+        store sends one row per month and category, however many lines it holds.
+        """
+        month, planned = F.trunc("sale_date", "month"), F.col("planned")
+        amounts = scaled("revenue", 2, "revenue") | scaled("profit", 2, "profit") | {
+            "quantity": F.col("quantity"), "rows": F.lit(1).cast("bigint"),
+        }
+        lines = self._priced(self.lines())
+        if months is not None:
+            chosen = list(months)
+            lines = lines.filter(
+                month_of(month).isin(chosen) | month_of(F.add_months(month, 12)).isin(chosen))
+        summed = (
+            lines.groupBy(month.alias("month"), "l_suppkey", "category")
+            .agg(*(F.sum(e).alias(a) for a, e in amounts.items()))
+            .withColumn("store_id", store_id("l_suppkey")).drop("l_suppkey")
+            .repartition("store_id")
+        )
+        uses = F.array(
+            F.struct(F.col("month").alias("cell_month"), F.lit(False).alias("planned")),
+            F.struct(F.add_months("month", 12).alias("cell_month"), F.lit(True).alias("planned")),
+        )
+        # as in a join, a null key equals nothing: such sales and plans stay apart
+        keys = ("cell_month", "store_id", "category")
+        apart = F.when(reduce(or_, (F.col(k).isNull() for k in keys)), planned)
+        aligned = (
+            summed.select("store_id", "category", *amounts, F.inline(uses))
+            .groupBy(*keys, apart.alias("apart"))
+            .agg(
+                *(F.sum(F.when(~planned, F.col(a))).alias(f"fact_{a}") for a in amounts),
+                *(F.sum(F.when(planned, F.col(a))).alias(f"plan_{a}") for a in amounts),
+            )
+        )
+
+        def money(name: str) -> Column:
+            return unscaled(F.col(f"{name}_high"), F.col(f"{name}_low"), 2)
+
+        cells = aligned.select(
+            month_of("cell_month").alias("plan_month"), "store_id", "category",
+            money("fact_revenue").alias("fact_revenue"), money("fact_profit").alias("fact_profit"),
+            F.col("fact_quantity").alias("fact_qty"),
+            *(F.round(money(f"plan_{c}") * F.lit(_RAISED), 2).cast(TOTAL).alias(f"plan_{c}")
+              for c in ("revenue", "profit")),
+            F.col("plan_quantity").alias("plan_qty"),
+            F.coalesce("fact_rows", F.lit(0)).alias("sales_rows"),
+            F.when(F.col("plan_rows") > 0, 1).otherwise(0).cast("bigint").alias("plan_rows"),
+        )
+        return cells if months is None else cells.filter(F.col("plan_month").isin(chosen))
+
     def inventory(self) -> DataFrame:
         # Counts of odd-numbered products are dated a month late, so that both
         # sales without stock and stock without sales occur.
