@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.labels import plan_status as status_of
-from ..functions.numbers import or_zero, total
+from ..functions.numbers import or_zero, pct, total
 from ..operators.selectors import check_date, check_month, over_months
 from ..operators.topk import as_lists, top_k
 from .inventory import inventory_alerts, inventory_summary
@@ -151,7 +151,7 @@ def _rollup(tables: Tables, month: str | None) -> DataFrame:
         has_plan.cast("bigint").alias("plan_cells"),
     )
     levels = [["month"], ["month", "store_id"], ["month", "category"]]
-    summed = measured.groupingSets(levels, "month", "store_id", "category").agg(
+    return measured.groupingSets(levels, "month", "store_id", "category").agg(
         total("revenue").alias("revenue"),
         total("profit").alias("profit"),
         F.sum("quantity").alias("quantity"),
@@ -160,7 +160,6 @@ def _rollup(tables: Tables, month: str | None) -> DataFrame:
         *plan_fact_sums(),
         F.grouping_id().alias("level"),
     )
-    return completed(summed)
 
 
 _SALES, _PLANS = "sales_count", "plan_cells"
@@ -186,6 +185,7 @@ def _folded(rollup: DataFrame, parts: Mapping[str, _Part], k: int) -> DataFrame:
 
     A total takes part in every list of its level; one ranking by month and list
     serves them all, and is cut to ``k`` rows in every map task before its shuffle.
+    Completions are shown of the rows left, so they are taken of those only.
     """
     def entry(number: int, part: _Part) -> Column:
         eligible = (F.col("level") == part.level) & (F.col(part.having) > 0)
@@ -200,10 +200,15 @@ def _folded(rollup: DataFrame, parts: Mapping[str, _Part], k: int) -> DataFrame:
     known = F.when(F.col("level") == _MONTH, F.struct(
         F.lit(-1).alias("part"), F.lit(None).cast(_SORTED).alias("sort"),
         F.lit(None).cast("string").alias("name")))
-    entries = F.array_compact(F.array(known, *(entry(i, p) for i, p in enumerate(parts.values()))))
-    fields = list(dict.fromkeys(f for p in parts.values() for f in p.fields))
-    placed = rollup.select("month", *fields, F.inline(entries))
-    listed = top_k(placed, ["month", "part"], [F.asc_nulls_last("sort"), F.asc("name")], k)
+    entries = F.array(known, *(entry(i, p) for i, p in enumerate(parts.values())))
+    shown = dict.fromkeys(f for p in parts.values() for f in p.fields)
+    fields = [f for f in dict.fromkeys([*shown, *PLAN, *FACT]) if f in rollup.columns]
+    # entries not taken part in are filtered as rows: a filter of arrays is never compiled
+    placed = rollup.select("month", *fields, F.inline(entries)).filter("part IS NOT NULL")
+    # comparing wide decimals is slow; doubles, which never order them otherwise, settle most
+    near = F.asc_nulls_last(F.col("sort").cast("double"))
+    order = [near, F.asc_nulls_last("sort"), F.asc("name")]
+    listed = completed(top_k(placed, ["month", "part"], order, k))
 
     def folded(number: int, name: str, part: _Part) -> Column:
         row = F.when(F.col("part") == number, F.struct("position", *part.fields))
@@ -232,7 +237,7 @@ def _ranked(level: int, fields: tuple[str, ...], best: bool) -> _Part:
 
 
 def _behind(level: int, key: str) -> _Part:
-    return _Part(level, _PLANS, (key, *PLAN_FIELDS), F.col("plan_revenue_pct"), key)
+    return _Part(level, _PLANS, (key, *PLAN_FIELDS), pct("fact_revenue", "plan_revenue"), key)
 
 
 _PLAN_FACT = (*PLAN, *FACT, "plan_revenue_pct", "plan_profit_pct")

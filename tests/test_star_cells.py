@@ -55,3 +55,23 @@ def test_lines_are_read_for_plans_and_sales_at_once(star, report):
     plan = report(star)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("/lineitem.parquet") + plan.count("Relation [l_") == 1
     assert "RepartitionByExpression [store_id" in plan
+
+
+def test_completions_are_taken_of_listed_rows(star):
+    plan = reports.report_monthly(star)._jdf.queryExecution().optimizedPlan().toString()
+    # quotients stand above the ranking, and entries are cut from arrays without a lambda
+    assert "rint(" not in plan.split("Window [row_number()")[1]
+    assert "filter(array(" not in plan
+
+
+def test_amounts_equal_in_doubles_are_ranked_exactly(spark):
+    rows = spark.sql("""
+        SELECT '2024-12' AS month, 1 AS level, 1L AS sales_count, 0L AS plan_cells, id AS store_id, NULL AS category,
+               CAST(r AS DECIMAL(24,2)) AS revenue, 0 AS profit, 0 AS quantity, NULL AS plan_revenue,
+               NULL AS plan_profit, NULL AS plan_qty, CAST(0 AS DECIMAL(24,2)) AS fact_revenue,
+               CAST(0 AS DECIMAL(24,2)) AS fact_profit, 0 AS fact_qty
+        FROM VALUES ('a', '9007199254740993.01'), ('b', '9007199254740993.03'), ('c', '9007199254740993.02'),
+                    ('d', NULL), ('e', '-1') AS t(id, r)""")
+    parts = {"low": reports._ranked(reports._STORE, reports.STORE_FIELDS, False)}
+    [row] = reports._folded(rows, parts, 4).collect()
+    assert [e.store_id for e in row.low] == ["e", "a", "c", "b"]
